@@ -62,8 +62,8 @@ SELECT k AS src_id,
   CASE WHEN k % 7 IN (0, 3) THEN NULL ELSE trim(ort) END AS city,
   CASE k % 4 WHEN 0 THEN trim(ort) || ' Land' WHEN 1 THEN ' ' || lower(kt) WHEN 2 THEN NULL ELSE kt END AS region,
   CASE WHEN k % 11 = 0 THEN NULL WHEN k % 13 = 5 THEN 'auf Anfrage'
-    WHEN k % 5 = 0 THEN CAST(100000 + CAST(floor(o_totalprice * 3) AS BIGINT) AS STRING)
-    ELSE CAST(500 + (7 * c) % 6000 AS STRING) END AS price,
+    WHEN k % 5 = 0 THEN CAST(100000 + 5000 * (20 + k % 180) + CAST(floor(o_totalprice / 2) AS BIGINT) AS STRING)
+    ELSE CAST(300 + 15 * (20 + k % 180) + (7 * c) % 900 AS STRING) END AS price,
   CASE k % 6 WHEN 0 THEN '3 ½' WHEN 1 THEN '4' WHEN 2 THEN '2.5' WHEN 3 THEN NULL WHEN 4 THEN 'n/a'
     ELSE CASE WHEN k % 4 = 1 THEN '½' ELSE '1 ½' END END AS rooms,
   CASE k % 8 WHEN 0 THEN NULL WHEN 1 THEN '1''200 m²' WHEN 2 THEN '8 m²'

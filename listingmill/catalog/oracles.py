@@ -417,11 +417,14 @@ ORACLES: dict[str, str] = {
                 FROM embeddings p, embeddings o GROUP BY ALL) GROUP BY x)""",
     "cluster_top_terms": "SELECT cluster, rank, term FROM top_terms",
     "cluster_term_table": "SELECT cluster, string_agg(term, ', ' ORDER BY rank) AS top_terms FROM top_terms GROUP BY cluster",
-    "pool_vectors": """SELECT p.id, i AS pos, round(coalesce(v, 0e0), 6) AS value
-        FROM properties p, (SELECT unnest(range(64)) AS i) LEFT JOIN (
-          SELECT CAST(floor(vec_id / 4) AS BIGINT) + 1 AS id, j - 1 AS i, avg(CAST(x AS DOUBLE)) AS v
-          FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS j FROM embeddings) GROUP BY ALL) m
-        ON m.id = p.id AND m.i = range.i""",
+    "pool_vectors": """SELECT p.id, coalesce(first, 0e0) AS first, coalesce(last, 0e0) AS last, coalesce(total, 0e0) AS total,
+          coalesce(squares, 0e0) AS squares
+        FROM properties p LEFT JOIN (
+          SELECT id, round(max(CASE WHEN j = 1 THEN v END), 6) AS first, round(max(CASE WHEN j = 64 THEN v END), 6) AS last,
+            round(sum(v), 6) AS total, round(sum(v * v), 6) AS squares
+          FROM (SELECT CAST(floor(vec_id / 4) AS BIGINT) + 1 AS id, j, avg(CAST(x AS DOUBLE)) AS v
+            FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS j FROM embeddings) GROUP BY ALL)
+          GROUP BY id) m ON m.id = p.id""",
     "stride_reduce": """SELECT vec_id, i AS pos,
         round(coalesce(CASE WHEN i < 100 THEN CAST(embedding[20 * i + 1] AS DOUBLE) END, 0e0), 6) AS value
         FROM embeddings, (SELECT unnest(range(100)) AS i)""",

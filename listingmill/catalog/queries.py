@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingmill.catalog.tables import RUN_DATE, Tables, tables
+from listingmill.catalog.tables import RUN_DATE, RUN_TS, Tables, tables
 from listingmill.operators import cleaning as cl
 from listingmill.operators import eda
 from listingmill.operators import evaluation as ev
@@ -17,11 +17,11 @@ from listingmill.operators import location as loc
 from listingmill.operators import text as txt
 from listingmill.operators import vectors as vec
 from listingmill.plans import clean as clean_plan
-from listingmill.sources import feeds, html
+from listingmill.plans import pricing
+from listingmill.sources import feeds, html, models
 from listingmill.sources import tables as store
 from listingmill.sources.workspace import fresh_path
 
-RUN_TS = RUN_DATE + " 09:30:00"
 Query = Callable[[Tables], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -97,7 +97,7 @@ def scan_properties(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "properties-table")
     store.save_table(t.properties, path)
     back = store.scan_properties(t.spark, path)
-    return back.select(*[c for c in store.PROPERTY_COLUMNS if c != "description"], digest("description"))
+    return back.select(*[c for c in store.LOADED_COLUMNS if c != "description"], digest("description"))
 
 
 @query
@@ -498,7 +498,11 @@ def _listing_vectors(t: Tables) -> DataFrame:
 @query
 def pool_vectors(t: Tables) -> DataFrame:
     pooled = vec.pool_vectors(_listing_vectors(t), t.properties.select("id"))
-    return pooled.select("id", F.posexplode("pooled").alias("pos", "value")).select("id", long("pos"), r("value", 6))
+    total = F.aggregate("pooled", F.lit(0.0), lambda acc, x: acc + x)
+    squares = F.aggregate("pooled", F.lit(0.0), lambda acc, x: acc + x * x)
+    return pooled.select(
+        "id", r(F.get("pooled", F.lit(0)), 6, "first"), r(F.get("pooled", F.lit(63)), 6, "last"),
+        r(total, 6, "total"), r(squares, 6, "squares"))
 
 
 @query
@@ -572,6 +576,67 @@ def validate_requests(t: Tables) -> DataFrame:
         "id", "ok", "missing", "description_cluster", *ev.vocab.REQUEST_FLAGS, "availability_date")
 
 
+# --- models -----------------------------------------------------------------
+
+def _per_mode(parts: dict[str, DataFrame]) -> DataFrame:
+    tagged = [df.select(F.lit(mode).alias("mode"), "*") for mode, df in parts.items()]
+    return tagged[0].unionByName(tagged[1])
+
+
+@query
+def linear_model(t: Tables) -> DataFrame:
+    return _per_mode({m: pricing.holdout_metrics(model, t.sides(m)[1]) for m, model in t.linear.items()})
+
+
+@query
+def forest_model(t: Tables) -> DataFrame:
+    return _per_mode({m: pricing.holdout_metrics(model, t.sides(m)[1]) for m, (model, _) in t.forest.items()})
+
+
+@query
+def boosted_model(t: Tables) -> DataFrame:
+    return _per_mode({m: pricing.holdout_metrics(model, test, log_scale=True) for m, (model, _, test) in t.boosted.items()})
+
+
+@query
+def combined_model(t: Tables) -> DataFrame:
+    model, _, test = t.combined
+    return pricing.holdout_metrics(model, test)
+
+
+@query
+def grid_search(t: Tables) -> DataFrame:
+    return _per_mode({m: report for m, (_, report) in t.forest.items()})
+
+
+@query
+def top_importances(t: Tables) -> DataFrame:
+    return _per_mode({m: pricing.top_importances(model, t.sides(m)[1]) for m, (model, _) in t.forest.items()})
+
+
+@query
+def top_coefficients(t: Tables) -> DataFrame:
+    return _per_mode({m: pricing.top_coefficients(model, t.sides(m)[1]) for m, model in t.linear.items()})
+
+
+@query
+def score_batch(t: Tables) -> DataFrame:
+    return pricing.score_batch(t.requests, {m: model for m, (model, _) in t.forest.items()}, RUN_TS)
+
+
+@query
+def score_batch_boosted(t: Tables) -> DataFrame:
+    return pricing.score_batch(t.requests, {m: parts[0] for m, parts in t.boosted.items()}, RUN_TS, log_scale=True)
+
+
+@query
+def save_load_model(t: Tables) -> DataFrame:
+    path = models.model_path(fresh_path(t.spark, "models"), "linear", "rental")
+    models.fit_or_load(t.spark, path, lambda: t.linear["rental"])
+    again = models.fit_or_load(t.spark, path, lambda: t.linear["purchase"])  # stored: not fitted again
+    return pricing.predict(again, t.sides("rental")[1]).select("id", "actual", r("predicted", 2))
+
+
 # --- exploratory statistics -------------------------------------------------
 
 NUMERIC = ("zip_code", "price", "rooms", "floor", "area_sqm")

@@ -4,6 +4,8 @@ read back, like the stages of a nightly job."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,9 @@ from pyspark.sql import functions as F
 from listingmill.catalog import fixtures as fx
 from listingmill.operators import cleaning as cl
 from listingmill.operators import location as loc
+from listingmill.operators.features import MODES
+from listingmill.operators import text as txt
+from listingmill.plans import pricing
 from listingmill.plans.clean import clean_listings
 from listingmill.sources.feeds import shape_postal
 from listingmill.sources.files import split_names
@@ -19,6 +24,7 @@ from listingmill.sources.tables import explode_images, load_properties
 from listingmill.sources.workspace import stage
 
 RUN_DATE = "2025-06-01"
+RUN_TS = RUN_DATE + " 09:30:00"
 
 _known: dict[tuple[str, str], "Tables"] = {}
 
@@ -113,3 +119,45 @@ class Tables:
     @cached_property
     def detail_pages(self) -> DataFrame:
         return stage(self._derive("detail_pages", raw_listings=self.raw), "detail-pages")
+
+    # --- models, fitted once per session ---
+
+    def sides(self, mode: str) -> tuple[DataFrame, DataFrame]:
+        """Training rows (stored: every fit reads them again) and test rows."""
+        return self._sides[mode]
+
+    @cached_property
+    def _sides(self) -> dict[str, tuple[DataFrame, DataFrame]]:
+        out = {}
+        for mode in MODES:
+            train, test = pricing.training_sides(self.properties, mode, RUN_TS)
+            out[mode] = stage(train, f"train-{mode}"), test
+        return out
+
+    def _both(self, fit: Callable[[str], object]) -> dict:
+        """Both modes at once: their small jobs fill the cores together."""
+        with ThreadPoolExecutor(2) as pool:
+            return dict(zip(MODES, pool.map(fit, MODES)))
+
+    @cached_property
+    def linear(self) -> dict:
+        self._sides  # before the threads start
+        return self._both(lambda m: pricing.linear_model(self.sides(m)[0]))
+
+    @cached_property
+    def forest(self) -> dict:
+        """Per mode: pipeline and grid report."""
+        self._sides  # before the threads start
+        return self._both(lambda m: pricing.forest_model(self.sides(m)[0]))
+
+    @cached_property
+    def boosted(self) -> dict:
+        """Per mode: pipeline, grid report, test rows."""
+        properties = self.properties
+        return self._both(lambda m: pricing.boosted_model(properties, m))
+
+    @cached_property
+    def combined(self):
+        texts = txt.cluster_texts(self.properties)[0].drop("text_vec")
+        vectors = self.base("embeddings").withColumnRenamed("vec_id", "id")
+        return pricing.combined_model(stage(texts, "text-clusters"), vectors, "rental", RUN_TS)

@@ -32,7 +32,7 @@ def kmeans_vectors(vecs: DataFrame, k: int = 5, seed: int = 42, vector: str = "e
 
 
 def k_sweep(vecs: DataFrame, ks: Sequence[int] = range(2, 30), seed: int = 42, vector: str = "embedding",
-            parallelism: int = 4) -> DataFrame:
+            parallelism: int = 8) -> DataFrame:
     """Inertia and silhouette (squared Euclidean) for every k.
 
     The input is cached once; several fits share the cluster, as in

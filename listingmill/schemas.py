@@ -38,9 +38,28 @@ POSTAL = T.StructType([
     T.StructField("city_clean", _text),
 ])
 
-PROPERTY_COLUMNS = (
-    "id", "title", "address", "zip_code", "city", "region", "price", "rooms",
-    "area_sqm", "floor", "availability_date", "has_balcony", "description",
-    "is_rental", "is_new", "has_view", "has_garden", "has_parking",
-    "has_air_conditioning",
-)
+PROPERTY = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("title", _text),
+    T.StructField("address", _text),
+    T.StructField("zip_code", T.IntegerType()),
+    T.StructField("city", _text),
+    T.StructField("region", _text),
+    T.StructField("price", T.LongType()),
+    T.StructField("rooms", T.DoubleType()),
+    T.StructField("area_sqm", T.DoubleType()),
+    T.StructField("floor", T.IntegerType()),
+    T.StructField("availability_date", T.DateType()),
+    T.StructField("has_balcony", T.BooleanType()),
+    T.StructField("description", _text),
+    T.StructField("is_rental", T.BooleanType()),
+    T.StructField("is_new", T.BooleanType()),
+    T.StructField("has_view", T.BooleanType()),
+    T.StructField("has_garden", T.BooleanType()),
+    T.StructField("has_parking", T.BooleanType()),
+    T.StructField("has_air_conditioning", T.BooleanType()),
+    # filled in after loading
+    T.StructField("latitude", T.DoubleType()),
+    T.StructField("longitude", T.DoubleType()),
+])
+LOADED_COLUMNS = tuple(f.name for f in PROPERTY if f.name not in ("latitude", "longitude"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from listingmill.functions.relational import dense_ids
 from listingmill.functions.text import number
 from listingmill.operators.cleaning import amenity_flags
-from listingmill.schemas import PROPERTY_COLUMNS
+from listingmill.schemas import LOADED_COLUMNS, PROPERTY
 
 BUCKET_ROWS = 65_536
 
@@ -26,7 +26,7 @@ def load_properties(clean: DataFrame, key: str = "src_id") -> DataFrame:
     rows = amenity_flags(clean.withColumns({"area_sqm": positive("area_sqm"), "rooms": positive("rooms")}))
     numbered = dense_ids(rows, [key], F.floor(F.col(key) / BUCKET_ROWS))
     extra = [c for c in ("image_urls", "latitude", "longitude", key) if c in clean.columns]
-    return numbered.select(*PROPERTY_COLUMNS, *extra)
+    return numbered.select(*LOADED_COLUMNS, *extra)
 
 
 def explode_images(properties: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def save_table(df: DataFrame, path: str) -> None:
 
 def scan_properties(spark: SparkSession, path: str) -> DataFrame:
     """All rows and columns; later filters and projections reach the files."""
-    return spark.read.parquet(path)
+    return spark.read.schema(PROPERTY).parquet(path)
 
 
 def scan_images(images: DataFrame) -> DataFrame:
