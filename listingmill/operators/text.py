@@ -31,16 +31,23 @@ def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text", max_features
     Lower-cased words of two or more characters without stop words; the
     vocabulary is the ``max_features`` most frequent terms of the corpus (equal
     counts by term); idf is ln((1+n)/(1+df))+1 and every document has length 1.
+
+    Two passes over the texts: the first only shuffles counts per term, the
+    second only words of the vocabulary.
     """
-    per_doc = _terms(docs, key, text, stop_words).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = _terms(docs, key, text, stop_words)
     vocabulary = (
-        per_doc.groupBy("term")
-        .agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-        .orderBy(F.desc("total"), "term").limit(max_features)
+        terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+        .orderBy(F.desc("total"), "term").limit(max_features).select("term")
+    )
+    per_doc = (
+        terms.join(F.broadcast(vocabulary), "term")  # max_features rows
+        .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     )
+    frequency = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     size = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
     weighted = (
-        per_doc.join(F.broadcast(vocabulary), "term")  # max_features rows
+        per_doc.join(F.broadcast(frequency), "term")  # max_features rows
         .withColumn("weight", F.col("tf") * (F.log((size + 1.0) / (F.col("df") + 1.0)) + 1.0))
     )
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(key)))

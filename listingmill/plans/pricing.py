@@ -5,7 +5,7 @@ stage of the stored pipeline."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -125,11 +125,13 @@ def grid_report(model: CrossValidatorModel, ready: DataFrame) -> DataFrame:
     return ready.sparkSession.createDataFrame(rows, "params string, mae double")
 
 
-def _fit(train: DataFrame, stages: list, regressor: Estimator, grid: Mapping[str, Sequence] | None,
-         label: str, folds: int) -> tuple[PipelineModel, DataFrame | None]:
+def _fit(train: DataFrame, stages: Callable[[DataFrame], list], regressor: Estimator,
+         grid: Mapping[str, Sequence] | None, label: str, folds: int) -> tuple[PipelineModel, DataFrame | None]:
     """Fit feature stages once, keep their output for all grid points, search,
-    and join both into one pipeline."""
-    prepared = Pipeline(stages=stages).fit(train)
+    and join both into one pipeline.  The training rows are kept as well: every
+    feature stage passes over them."""
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = Pipeline(stages=stages(train)).fit(train)
     ready = prepared.transform(train).select("id", "features", F.col(label).cast("double").alias(label))
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -139,19 +141,22 @@ def _fit(train: DataFrame, stages: list, regressor: Estimator, grid: Mapping[str
         return PipelineModel(stages=[*prepared.stages, found.bestModel]), grid_report(found, ready)
     finally:
         ready.unpersist()
+        train.unpersist()
+
+
+def _listing_stages(train: DataFrame) -> list:
+    return [_bin_stage(train), *_assemble((*NUMERIC, "lat_bin", "lon_bin"), CATEGORICAL)]
 
 
 def linear_model(train: DataFrame) -> PipelineModel:
     """Least squares on all features."""
-    stages = [_bin_stage(train), *_assemble((*NUMERIC, "lat_bin", "lon_bin"), CATEGORICAL)]
-    return _fit(train, stages, LinearRegression(labelCol="price", maxIter=50), None, "price", 0)[0]
+    return _fit(train, _listing_stages, LinearRegression(labelCol="price", maxIter=50), None, "price", 0)[0]
 
 
 def forest_model(train: DataFrame, grid: Mapping[str, Sequence] = SMALL_FOREST_GRID, folds: int = 3,
                  seed: int = 42) -> tuple[PipelineModel, DataFrame]:
     """Random forest with a searched grid: the pipeline and the grid report."""
-    stages = [_bin_stage(train), *_assemble((*NUMERIC, "lat_bin", "lon_bin"), CATEGORICAL)]
-    return _fit(train, stages, RandomForestRegressor(labelCol="price", seed=seed), grid, "price", folds)
+    return _fit(train, _listing_stages, RandomForestRegressor(labelCol="price", seed=seed), grid, "price", folds)
 
 
 def boosted_features(df: DataFrame, fields: Sequence[str] = ("description",)) -> DataFrame:
@@ -173,11 +178,14 @@ def boosted_model(df: DataFrame, mode: str, grid: Mapping[str, Sequence] = SMALL
     train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     numeric = (*BOOSTED_NUMERIC, *(("price_per_sqm",) if leak_price_per_sqm else ()),
                *(ft.keyword_name(w) for w in ft.vocab.KEYWORDS))
-    stages = [
-        VectorAssembler(inputCols=["longitude", "latitude"], outputCol="coords", handleInvalid="keep"),
-        KMeans(k=clusters, seed=seed, featuresCol="coords", predictionCol="geo_cluster"),
-        *_assemble(numeric, BOOSTED_CATEGORICAL),
-    ]
+
+    def stages(_: DataFrame) -> list:
+        return [
+            VectorAssembler(inputCols=["longitude", "latitude"], outputCol="coords", handleInvalid="keep"),
+            KMeans(k=clusters, seed=seed, featuresCol="coords", predictionCol="geo_cluster"),
+            *_assemble(numeric, BOOSTED_CATEGORICAL),
+        ]
+
     model, report = _fit(train, stages, GBTRegressor(labelCol="log_price", seed=seed), grid, "log_price", folds)
     return model, report, test
 
@@ -192,12 +200,15 @@ def combined_model(listings: DataFrame, vectors: DataFrame, mode: str, run_ts: s
     """
     vectors = vectors.select("id", array_to_vector(F.col("embedding").cast("array<double>")).alias("image"))
     train, test = training_sides(listings.join(vectors, "id"), mode, run_ts, seed=seed)
-    stages = [
-        _bin_stage(train),
-        StandardScaler(inputCol="image", outputCol="image_centred", withMean=True, withStd=False),
-        PCA(k=min(components, width), inputCol="image_centred", outputCol="img_pca"),
-        *_assemble((*NUMERIC, "lat_bin", "lon_bin"), (*CATEGORICAL, "description_cluster"), ("img_pca",)),
-    ]
+
+    def stages(rows: DataFrame) -> list:
+        return [
+            _bin_stage(rows),
+            StandardScaler(inputCol="image", outputCol="image_centred", withMean=True, withStd=False),
+            PCA(k=min(components, width), inputCol="image_centred", outputCol="img_pca"),
+            *_assemble((*NUMERIC, "lat_bin", "lon_bin"), (*CATEGORICAL, "description_cluster"), ("img_pca",)),
+        ]
+
     model, report = _fit(train, stages, RandomForestRegressor(labelCol="price", seed=seed), grid, "price", folds)
     return model, report, test
 

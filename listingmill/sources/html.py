@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from listingmill.functions import text as tx
 
 LAYOUTS = ("thumb", "card")
-_ANY = r"[\s\S]"
+# With the (?s) flag a dot scans several times faster than a class of everything.
+_ANY = "."
 
 
 def _tag(name: str, css_class: str) -> str:
@@ -56,7 +57,7 @@ def extract_cards_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
     if layout == "thumb":
         link = _attribute(F.regexp_extract(block, _tag("a", "listing-thumb__image"), 0), "href")
         title = _attribute(F.regexp_extract(
-            block, rf"{_tag('[a-z]+', 'listing-image')}{_ANY}*?(<img[^>]*>)", 1), "alt")
+            block, rf"(?s){_tag('[a-z]+', 'listing-image')}{_ANY}*?(<img[^>]*>)", 1), "alt")
         address = _attribute(F.regexp_extract(block, _tag("header", "listing-thumb-header"), 0), "title")
         price_text = F.regexp_extract(block, rf"{_tag('span', 'price')}([^<]*)", 1)
         place = tx.trim_ws(F.regexp_extract(block, rf"{_tag('[a-z0-9]+', 'listing-thumb-title__location')}([^<]*)", 1))
@@ -68,9 +69,9 @@ def extract_cards_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
     else:
         link = _attribute(F.regexp_extract(block, opening, 0), "href")
         title = tx.strip_tags(F.regexp_extract(
-            block, rf"{_tag('p', 'card-text')}{_ANY}*?<strong[^>]*>({_ANY}*?)</strong>", 1))
-        price_text = tx.strip_tags(F.regexp_extract(block, rf"{_tag('h3', 'card-title')}({_ANY}*?)</h3>", 1))
-        texts = F.regexp_extract_all(block, F.lit(rf"{_tag('p', 'card-text')}({_ANY}*?)</p>"), F.lit(1))
+            block, rf"(?s){_tag('p', 'card-text')}{_ANY}*?<strong[^>]*>({_ANY}*?)</strong>", 1))
+        price_text = tx.strip_tags(F.regexp_extract(block, rf"(?s){_tag('h3', 'card-title')}({_ANY}*?)</h3>", 1))
+        texts = F.regexp_extract_all(block, F.lit(rf"(?s){_tag('p', 'card-text')}({_ANY}*?)</p>"), F.lit(1))
         lines = F.split(F.get(texts, F.lit(1)), r"<br\s*/?>")
         lines = F.filter(lines, lambda x: ~x.rlike(r"^\s*$"))
         found = (
@@ -112,19 +113,19 @@ def extract_details_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
     page = F.col(html)
     if layout == "thumb":
         rows = F.filter(
-            F.regexp_extract_all(page, F.lit(rf"<tr\b[^>]*>({_ANY}*?)</tr>"), F.lit(1)),
+            F.regexp_extract_all(page, F.lit(rf"(?s)<tr\b[^>]*>({_ANY}*?)</tr>"), F.lit(1)),
             lambda r: F.size(F.regexp_extract_all(r, F.lit(r"<td\b[^>]*>"), F.lit(0))) == 2)
-        cell = rf"<td\b[^>]*>({_ANY}*?)</td>"
-        pairs = _pairs(rows, rf"^{_ANY}*?{cell}", rf"</td>{_ANY}*?{cell}")
+        cell = rf"(?s)<td\b[^>]*>({_ANY}*?)</td>"
+        pairs = _pairs(rows, rf"(?s)^{_ANY}*?{cell}", rf"(?s)</td>{_ANY}*?{cell}")
 
         def look(label: str) -> Column:
             hits = F.filter("_pairs", lambda p: p["label"] == label)
             return F.get(F.transform(hits, lambda p: p["value"]), F.size(hits) - 1)
 
         heading = F.regexp_extract_all(
-            page, F.lit(rf"{_tag('strong', 'user-generated-content')}({_ANY}*?)</strong>"), F.lit(1))
-        body = F.regexp_extract(page, rf"{_tag('div', 'markdown')}({_ANY}*?)</div>", 1)
-        paragraphs = F.regexp_extract_all(body, F.lit(rf"<p\b[^>]*>({_ANY}*?)</p>"), F.lit(1))
+            page, F.lit(rf"(?s){_tag('strong', 'user-generated-content')}({_ANY}*?)</strong>"), F.lit(1))
+        body = F.regexp_extract(page, rf"(?s){_tag('div', 'markdown')}({_ANY}*?)</div>", 1)
+        paragraphs = F.regexp_extract_all(body, F.lit(rf"(?s)<p\b[^>]*>({_ANY}*?)</p>"), F.lit(1))
         parts = F.transform(F.concat(F.slice(heading, 1, 1), paragraphs), tx.strip_tags)
         return (
             pages.withColumns({"_pairs": pairs, "_parts": parts})
@@ -136,8 +137,8 @@ def extract_details_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
         )
     if layout != "card":
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    items = F.regexp_extract_all(page, F.lit(rf"(<dt\b[^>]*>{_ANY}*?</dt>\s*<dd\b[^>]*>{_ANY}*?</dd>)"), F.lit(1))
-    pairs = _pairs(items, rf"<dt\b[^>]*>({_ANY}*?)</dt>", rf"<dd\b[^>]*>({_ANY}*?)</dd>")
+    items = F.regexp_extract_all(page, F.lit(rf"(?s)(<dt\b[^>]*>{_ANY}*?</dt>\s*<dd\b[^>]*>{_ANY}*?</dd>)"), F.lit(1))
+    pairs = _pairs(items, rf"(?s)<dt\b[^>]*>({_ANY}*?)</dt>", rf"(?s)<dd\b[^>]*>({_ANY}*?)</dd>")
 
     def look(word: str) -> Column:
         return F.get(F.transform(
@@ -145,7 +146,7 @@ def extract_details_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
 
     balcony = F.exists(
         "_pairs", lambda p: F.lower(p["label"]).contains("balkon") & p["markup"].contains("<svg"))
-    description = F.regexp_extract_all(page, F.lit(rf"{_tag('div', 'description')}({_ANY}*?)</div>"), F.lit(1))
+    description = F.regexp_extract_all(page, F.lit(rf"(?s){_tag('div', 'description')}({_ANY}*?)</div>"), F.lit(1))
     return (
         pages.withColumns({"_pairs": pairs, "_text": F.get(description, F.lit(0))})
         .select(
@@ -161,10 +162,10 @@ def extract_image_urls(pages: DataFrame, html: str, layout: str) -> DataFrame:
     page = F.col(html)
     if layout == "thumb":
         tags = F.regexp_extract_all(page, F.lit(
-            rf'<figure\b[^>]*ImageObject"[^>]*>{_ANY}*?(<a\b[^>]*itemprop="contentUrl"[^>]*>)'), F.lit(1))
+            rf'(?s)<figure\b[^>]*ImageObject"[^>]*>{_ANY}*?(<a\b[^>]*itemprop="contentUrl"[^>]*>)'), F.lit(1))
         links = F.transform(tags, lambda t: _attribute(t, "href"))
     elif layout == "card":
-        tags = F.regexp_extract_all(page, F.lit(rf"{_tag('div', 'swiper-slide')}{_ANY}*?(<img\b[^>]*>)"), F.lit(1))
+        tags = F.regexp_extract_all(page, F.lit(rf"(?s){_tag('div', 'swiper-slide')}{_ANY}*?(<img\b[^>]*>)"), F.lit(1))
         links = F.transform(tags, lambda t: _attribute(t, "src"))
     else:
         raise ValueError(f"layout must be one of {LAYOUTS}")
@@ -180,6 +181,6 @@ def page_outline(pages: DataFrame) -> DataFrame:
     """Title, number of links and paragraphs of any stored page."""
     page = F.col("html")
     return pages.select(
-        "page_id", tx.strip_tags(F.regexp_extract(page, rf"<title[^>]*>({_ANY}*?)</title>", 1)).alias("title"),
+        "page_id", tx.strip_tags(F.regexp_extract(page, rf"(?s)<title[^>]*>({_ANY}*?)</title>", 1)).alias("title"),
         F.size(F.regexp_extract_all(page, F.lit(r'<a\b[^>]*[ ]href="([^"]*)"'), F.lit(1))).cast("bigint").alias("links"),
-        F.size(F.regexp_extract_all(page, F.lit(rf"<p\b[^>]*>({_ANY}*?)</p>"), F.lit(1))).cast("bigint").alias("paragraphs"))
+        F.size(F.regexp_extract_all(page, F.lit(rf"(?s)<p\b[^>]*>({_ANY}*?)</p>"), F.lit(1))).cast("bigint").alias("paragraphs"))
