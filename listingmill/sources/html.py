@@ -33,7 +33,7 @@ def _absolute(href: Column, base: Column) -> Column:
 
 def _blocks(html: Column, opening: str) -> Column:
     """Page split at every opening tag: one text per block, each starting with its tag."""
-    return F.slice(F.split(html, f"(?={opening})"), 2, 2_000_000_000)
+    return F.filter(F.split(html, f"(?={opening})"), lambda block: block.rlike("^" + opening))
 
 
 def _price(text: Column) -> Column:
