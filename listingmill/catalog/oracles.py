@@ -394,8 +394,8 @@ ORACLES: dict[str, str] = {
     "bounds_filter": """SELECT id, price, area_sqm FROM properties WHERE price > 200 AND price < 10000000 AND area_sqm > 10
         AND area_sqm < 1000 AND rooms IS NOT NULL AND floor IS NOT NULL AND zip_code IS NOT NULL AND city IS NOT NULL
         AND region IS NOT NULL AND has_balcony IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL""",
-    "ratio_features": """SELECT id, round(price / nullif(area_sqm, 0), 4) AS price_per_sqm,
-        round(area_sqm / nullif(rooms, 0), 4) AS room_size FROM properties""",
+    "ratio_features": """SELECT id, round(price / nullif(area_sqm, 0), 7) AS price_per_sqm,
+        round(area_sqm / nullif(rooms, 0), 7) AS room_size FROM properties""",
     "keyword_flags": f"""SELECT src_id, {", ".join(
         f'CAST(coalesce(contains(lower(title), {q(w)}), false) OR coalesce(contains(lower(description), {q(w)}), false) AS INTEGER) AS "kw_{w}"'
         for w in vocab.KEYWORDS)} FROM raw_listings""",
@@ -447,7 +447,7 @@ ORACLES: dict[str, str] = {
         FROM predictions, (SELECT avg(actual) AS m FROM predictions)""",
     "actual_vs_predicted": """SELECT id, actual, round(predicted, 4) AS predicted, (SELECT min(actual) FROM predictions) AS line_from,
         (SELECT max(actual) FROM predictions) AS line_to FROM predictions""",
-    "residual_histogram": """SELECT b AS bin, round(mn + b * w, 4) AS lo, round(mn + (b + 1) * w, 4) AS hi, count(*) AS n
+    "residual_histogram": """SELECT b AS bin, round(mn + b * w, 7) AS lo, round(mn + (b + 1) * w, 7) AS hi, count(*) AS n
         FROM (SELECT mn, w, CAST(least(floor((actual - predicted - mn) / w), 29) AS BIGINT) AS b FROM predictions,
           (SELECT min(actual - predicted) AS mn, (max(actual - predicted) - min(actual - predicted)) / 30e0 AS w FROM predictions))
         GROUP BY b, mn, w""",
@@ -464,16 +464,16 @@ ORACLES: dict[str, str] = {
             FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM clean_listings WHERE {c} IS NOT NULL GROUP BY 1
                   ORDER BY n DESC, md5(CAST({c} AS VARCHAR)) DESC LIMIT 1)"""
           for c in ("title", "address", "city", "region", "availability_date", "has_balcony", "description", "is_rental")],
-        *[f"""SELECT '{c}', count({c}), NULL::BIGINT, NULL::VARCHAR, NULL::BIGINT, round(avg({c}), 4), round(stddev_samp({c}), 4),
-            CAST(min({c}) AS DOUBLE), round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4), round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4),
-            round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4), CAST(max({c}) AS DOUBLE) FROM clean_listings"""
+        *[f"""SELECT '{c}', count({c}), NULL::BIGINT, NULL::VARCHAR, NULL::BIGINT, round(avg({c}), 7), round(stddev_samp({c}), 4),
+            CAST(min({c}) AS DOUBLE), round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 7), round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 7),
+            round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 7), CAST(max({c}) AS DOUBLE) FROM clean_listings"""
           for c in ("zip_code", "price", "rooms", "floor", "area_sqm")]]),
     "missing_counts": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(*) - count({c}) AS missing FROM raw_listings"""
         for c in ("src_id", "title", "address", "zip_code", "city", "region", "price", "rooms", "area_sqm", "floor",
                   "availability_date", "description", "has_balcony", "image_urls", "latitude", "longitude")),
-    "eda_filter": "SELECT src_id, price, round(price_per_sqm, 4) AS price_per_sqm FROM eda",
-    "histograms": """SELECT metric, b AS bin, round(mn + b * w, 4) AS lo, round(mn + (b + 1) * w, 4) AS hi, count(*) AS n
+    "eda_filter": "SELECT src_id, price, round(price_per_sqm, 7) AS price_per_sqm FROM eda",
+    "histograms": """SELECT metric, b AS bin, round(mn + b * w, 7) AS lo, round(mn + (b + 1) * w, 7) AS hi, count(*) AS n
         FROM (SELECT metric, mn, w, CAST(least(floor((value - mn) / w), bins - 1) AS BIGINT) AS b FROM eda_long
           JOIN (SELECT metric, min(value) AS mn, (max(value) - min(value)) / any_value(bins) AS w FROM eda_long GROUP BY metric) USING (metric))
         GROUP BY metric, b, mn, w""",
@@ -486,9 +486,9 @@ ORACLES: dict[str, str] = {
         f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM eda"
         for a in ("price", "rooms", "floor", "area_sqm", "price_per_sqm")
         for b in ("price", "rooms", "floor", "area_sqm", "price_per_sqm")),
-    "avg_price_by_region": "SELECT region, round(avg(price), 4) AS avg_price FROM eda WHERE region IS NOT NULL GROUP BY region ORDER BY 2, 1",
+    "avg_price_by_region": "SELECT region, round(avg(price), 7) AS avg_price FROM eda WHERE region IS NOT NULL GROUP BY region ORDER BY 2, 1",
     "desc_length_vs_price": "SELECT src_id, coalesce(length(description), 0) AS desc_length, price FROM eda",
-    "region_area_price_points": "SELECT src_id, region, area_sqm, round(price_per_sqm, 4) AS price_per_sqm FROM eda",
+    "region_area_price_points": "SELECT src_id, region, area_sqm, round(price_per_sqm, 7) AS price_per_sqm FROM eda",
     "explore": """SELECT id, city, price, rooms, area_sqm FROM properties WHERE contains(lower(city), 'er')
         AND (price IS NULL OR price = 0 OR price BETWEEN 600 AND 400000) AND (rooms IS NULL OR rooms = 0 OR rooms BETWEEN 2 AND 4.5)
         AND (area_sqm IS NULL OR area_sqm = 0 OR area_sqm BETWEEN 30 AND 160) AND has_balcony""",

@@ -20,7 +20,7 @@ from listingmill.plans import clean as clean_plan
 from listingmill.plans import pricing
 from listingmill.sources import feeds, html, models
 from listingmill.sources import tables as store
-from listingmill.sources.workspace import fresh_path
+from listingmill.sources.workspace import fresh_path, stage
 
 Query = Callable[[Tables], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -278,12 +278,14 @@ def _with_copies(t: Tables) -> DataFrame:
 
 @query
 def dedup_listings(t: Tables) -> DataFrame:
-    return cl.dedup_listings(_with_copies(t)).select("src_id")
+    df = _with_copies(t)
+    return cl.dedup_listings(df, dropped=stage(cl.duplicates(df), "duplicates")).select("src_id")
 
 
 @query
 def dedup_near(t: Tables) -> DataFrame:
-    return cl.dedup_listings(_with_copies(t), near=True).select("src_id")
+    df = _with_copies(t)
+    return cl.dedup_listings(df, dropped=stage(cl.duplicates(df, near=True), "duplicates")).select("src_id")
 
 
 @query
@@ -381,7 +383,7 @@ def bounds_filter(t: Tables) -> DataFrame:
 
 @query
 def ratio_features(t: Tables) -> DataFrame:
-    return ft.ratio_features(t.properties).select("id", r("price_per_sqm", 4), r("room_size", 4))
+    return ft.ratio_features(t.properties).select("id", r("price_per_sqm", 7), r("room_size", 7))
 
 
 @query
@@ -567,7 +569,7 @@ def actual_vs_predicted(t: Tables) -> DataFrame:
 
 @query
 def residual_histogram(t: Tables) -> DataFrame:
-    return ev.residual_histogram(t.predictions).select("bin", r("lo", 4), r("hi", 4), "n")
+    return ev.residual_histogram(t.predictions).select("bin", r("lo", 7), r("hi", 7), "n")
 
 
 @query
@@ -655,8 +657,8 @@ def profile_schema(t: Tables) -> DataFrame:
 @query
 def describe_all(t: Tables) -> DataFrame:
     return eda.describe_all(t.clean, TEXT, NUMERIC).select(
-        "column", "count", "unique", F.md5("top").alias("top"), "freq", r("mean", 4), r("std", 4), "min", r("q25", 4), r("q50", 4),
-        r("q75", 4), "max")
+        "column", "count", "unique", F.md5("top").alias("top"), "freq", r("mean", 7), r("std", 4), "min", r("q25", 7), r("q50", 7),
+        r("q75", 7), "max")
 
 
 @query
@@ -666,12 +668,12 @@ def missing_counts(t: Tables) -> DataFrame:
 
 @query
 def eda_filter(t: Tables) -> DataFrame:
-    return _eda(t).select("src_id", "price", r("price_per_sqm", 4))
+    return _eda(t).select("src_id", "price", r("price_per_sqm", 7))
 
 
 @query
 def histograms(t: Tables) -> DataFrame:
-    return eda.histograms(_eda(t)).select("metric", "bin", r("lo", 4), r("hi", 4), "n")
+    return eda.histograms(_eda(t)).select("metric", "bin", r("lo", 7), r("hi", 7), "n")
 
 
 @query
@@ -686,7 +688,7 @@ def correlation_matrix(t: Tables) -> DataFrame:
 
 @query
 def avg_price_by_region(t: Tables) -> DataFrame:
-    return eda.avg_price_by_region(_eda(t)).select("region", r("avg_price", 4))
+    return eda.avg_price_by_region(_eda(t)).select("region", r("avg_price", 7))
 
 
 @query
@@ -696,7 +698,7 @@ def desc_length_vs_price(t: Tables) -> DataFrame:
 
 @query
 def region_area_price_points(t: Tables) -> DataFrame:
-    return eda.region_area_price_points(_eda(t)).select("src_id", "region", "area_sqm", r("price_per_sqm", 4))
+    return eda.region_area_price_points(_eda(t)).select("src_id", "region", "area_sqm", r("price_per_sqm", 7))
 
 
 # --- explorer ---------------------------------------------------------------

@@ -337,23 +337,39 @@ def amenity_flags(df: DataFrame) -> DataFrame:
 EXACT_KEY = ("title", "address", "zip_code", "city", "price", "rooms", "area_sqm", "floor", "description")
 
 
-def dedup_listings(df: DataFrame, key: str = "src_id", near: bool = False) -> DataFrame:
-    """Keep the listing with the lowest key of every group of equal listings.
+def _digest(near: bool) -> Column:
+    if near:
+        words = F.array_sort(F.array_distinct(tx.words(F.concat_ws(" ", "title", "description"))))
+        parts = F.struct(F.lower("address").alias("address"), "rooms", "area_sqm", "floor", "price", words.alias("words"))
+    else:
+        parts = F.struct(*EXACT_KEY)
+    return F.sha2(F.to_json(parts), 256)
+
+
+def duplicates(df: DataFrame, key: str = "src_id", near: bool = False) -> DataFrame:
+    """Keys of all listings but the first (lowest key) of every group of equal ones.
 
     Listings are equal when all of ``EXACT_KEY`` agree.  With ``near``, when
     they advertise the same object (address, rooms, area, floor, price) with
     the same set of words, whatever their order, case or punctuation.
-    Only a digest and the key are shuffled and pre-aggregated, so a group of
-    copies may be of any size.
+    Only digests and keys are shuffled, counted before the shuffle, so a group
+    of copies may be of any size.
     """
-    if near:
-        words = F.array_sort(F.array_distinct(tx.words(F.concat_ws(" ", "title", "description"))))
-        parts = F.to_json(F.struct(
-            F.lower("address").alias("address"), "rooms", "area_sqm", "floor", "price", words.alias("words")))
-    else:
-        parts = F.to_json(F.struct(*EXACT_KEY))
-    kept = df.select(key, F.sha2(parts, 256).alias("_digest")).groupBy("_digest").agg(F.min(key).alias(key))
-    return df.join(kept.select(key), key, "left_semi")
+    digests = df.select(key, _digest(near).alias("_digest"))
+    groups = (
+        digests.groupBy("_digest").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+    )
+    return digests.join(groups, "_digest").where(F.col(key) != F.col("_first")).select(key)
+
+
+def dedup_listings(df: DataFrame, key: str = "src_id", near: bool = False,
+                   dropped: DataFrame | None = None) -> DataFrame:
+    """Listings without their :func:`duplicates`; ``dropped`` may hand in a
+    stored result, whose size then decides how it is joined."""
+    if dropped is None:
+        dropped = duplicates(df, key, near)
+    return df.join(dropped, key, "left_anti")
 
 
 def quality_report(df: DataFrame, minimum: int = 1000) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listingmill.functions.relational import equal_width_bin, exact_quantiles
+from listingmill.functions.relational import exact_quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
 HISTOGRAM_BINS = {"price": 30, "area_sqm": 30, "rooms": 20, "price_per_sqm": 40}
@@ -92,15 +92,13 @@ def eda_filter(df: DataFrame) -> DataFrame:
 def histograms(df: DataFrame, bins: Mapping[str, int] = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histograms of several columns: (metric, bin, lo, hi, n).
 
-    Values are reduced to counts per distinct value first, from which both the
-    range and the bins follow.
+    One pass finds the ranges, a second counts per bin inside every task.
     """
-    counts = (
+    long = (
         _melt(df, {c: F.col(c).cast("double") for c in bins}, "metric", "value")
         .where(F.col("value").isNotNull())
-        .groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    ranges = counts.groupBy("metric").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
+    ranges = long.groupBy("metric").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
     flat = F.col("mn") == F.col("mx")
     ranges = ranges.select(
         "metric",
@@ -111,9 +109,9 @@ def histograms(df: DataFrame, bins: Mapping[str, int] = HISTOGRAM_BINS) -> DataF
     width = (F.col("mx") - F.col("mn")) / F.col("bins")
     position = F.least(F.floor((F.col("value") - F.col("mn")) / width), F.col("bins") - 1)
     return (
-        counts.join(F.broadcast(ranges), "metric")  # one row per histogram
+        long.join(F.broadcast(ranges), "metric")  # one row per histogram
         .groupBy("metric", position.cast("bigint").alias("bin"), "mn", "mx", "bins")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .select("metric", "bin", (F.col("mn") + F.col("bin") * width).alias("lo"),
                 (F.col("mn") + (F.col("bin") + 1) * width).alias("hi"), "n")
     )

@@ -234,12 +234,20 @@ def augment_rare(df: DataFrame, numeric: Sequence[str], flags: Sequence[str] = R
         .withColumn("draw", F.explode(F.sequence(F.lit(0), F.least(F.lit(n), F.col("pool_size")).cast("int") - 1)))
         .withColumn("pick", F.floor(rel.uniform(seed, F.col("flag"), F.col("round"), F.col("draw")) * F.col("pool_size")))
     )
-    # Bucket of every pick, then its rank inside that bucket.
+    # Bucket of every pick: sorted together, a pick belongs to the last bucket
+    # start before it (at most 4096 starts and rounds x n picks per flag).
+    starts = sizes.select(
+        "flag", F.col("offset").alias("pos"), F.lit(0).alias("is_pick"), "bucket", "offset",
+        F.lit(None).cast("int").alias("round"), F.lit(None).cast("int").alias("draw"))
+    picks = draws.select(
+        "flag", F.col("pick").alias("pos"), F.lit(1).alias("is_pick"), F.lit(None).cast("bigint").alias("bucket"),
+        F.lit(None).cast("bigint").alias("offset"), "round", "draw")
+    before = W.partitionBy("flag").orderBy("pos", "is_pick").rowsBetween(W.unboundedPreceding, 0)
     located = (
-        draws.join(sizes.drop("pool_size"), "flag")
-        .where((F.col("pick") >= F.col("offset")) & (F.col("pick") < F.col("offset") + F.col("rows")))
-        .withColumn("rank", F.col("pick") - F.col("offset") + 1)
-        .select("flag", "bucket", "rank", "round", "draw")
+        starts.unionByName(picks)
+        .withColumns({c: F.last(c, ignorenulls=True).over(before) for c in ("bucket", "offset")})
+        .where(F.col("is_pick") == 1)
+        .select("flag", "bucket", (F.col("pos") - F.col("offset") + 1).alias("rank"), "round", "draw")
     )
     ranked = pool.withColumn(
         "rank", F.row_number().over(W.partitionBy("flag", "bucket").orderBy(key)).cast("bigint"))
