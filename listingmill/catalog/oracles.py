@@ -284,6 +284,17 @@ SELECT page_id, {pair("zimmer")} AS rooms, {pair("etage")} AS floor, {pair("flä
     THEN {bare("regexp_extract(pairs_html, 'class=\"description\">((?s:.*?))</div>', 1)")} END AS description
 FROM (SELECT *, regexp_extract_all(pairs_html, '<dt[^>]*>.*?</dd>') AS dts FROM detail_pages)"""
 
+# --- seeded numbers: the same md5 digits ------------------------------------
+
+def _u(key: str) -> str:
+    return f"((CAST('0x' || substr(md5({key}), 1, 13) AS BIGINT) + 0.5e0) / 4503599627370496e0)"
+
+
+def _z(column: str) -> str:
+    key = f"'|42|{column}|' || flag || '|' || rnd || '|' || draw"
+    return f"(sqrt(-2e0 * ln({_u(f'{chr(39)}radius{chr(39)} || ' + key)})) * cos(2e0 * pi() * {_u(f'{chr(39)}angle{chr(39)} || ' + key)}))"
+
+
 # --- one query per key ------------------------------------------------------
 
 _CLEAN_COLUMNS = "title, address, zip_code, city, region, price, rooms, floor, area_sqm, availability_date, has_balcony, is_rental"
@@ -401,6 +412,31 @@ ORACLES: dict[str, str] = {
         for w in vocab.KEYWORDS)} FROM raw_listings""",
     "price_split": "SELECT id, CASE WHEN price <= 20000 THEN 'rental' ELSE 'purchase' END AS side FROM properties",
     "log_target": "SELECT id, round(ln(1e0 + price), 6) AS log_price, round(exp(ln(1e0 + price)) - 1, 4) AS price_back FROM properties",
+    "augment_rare": f"""WITH flagged AS (
+          SELECT id, CAST(price AS DOUBLE) AS price, rooms, area_sqm, CAST(floor AS DOUBLE) AS floor,
+            CAST(floor > 4 AS INTEGER) AS is_top_floor, CAST(area_sqm > 80 AS INTEGER) AS is_large, CAST(area_sqm < 30 AS INTEGER) AS is_small
+          FROM properties),
+        pool AS (
+          SELECT flag, id, count(*) OVER (PARTITION BY flag) AS size,
+            row_number() OVER (PARTITION BY flag ORDER BY substr(md5('42|' || id), 1, 3), id) - 1 AS slot
+          FROM flagged, (VALUES ('is_top_floor'), ('is_large'), ('is_small')) f(flag)
+          WHERE CASE flag WHEN 'is_top_floor' THEN is_top_floor WHEN 'is_large' THEN is_large ELSE is_small END = 1),
+        draws AS (
+          SELECT flag, size, rnd, draw, CAST(floor({_u("'42|' || flag || '|' || rnd || '|' || draw")} * size) AS BIGINT) AS slot
+          FROM (SELECT DISTINCT flag, size FROM pool), (SELECT unnest(range(20)) AS rnd), (SELECT unnest(range(300)) AS draw)
+          WHERE draw < size)
+        SELECT id, round(price, 5) AS price, round(rooms, 7) AS rooms, round(area_sqm, 6) AS area_sqm, round(floor, 7) AS floor,
+          is_top_floor, is_large, is_small, false AS augmented FROM flagged
+        UNION ALL
+        SELECT id, {", ".join(f"round({c} * (1 + 0.03e0 * {_z(c)}), {d}) AS {c}" for c, d in (("price", 5), ("rooms", 7), ("area_sqm", 6), ("floor", 7)))},
+          is_top_floor, is_large, is_small, true
+        FROM draws JOIN pool USING (flag, slot) JOIN flagged USING (id)""",
+    "profile_schema": "SELECT position, \"column\", type, (SELECT count(*) FROM clean_listings) AS rows FROM (VALUES " + ", ".join(
+        f"({i}, '{n}', '{k}')" for i, (n, k) in enumerate((
+            ("src_id", "bigint"), ("title", "string"), ("address", "string"), ("zip_code", "int"), ("city", "string"), ("region", "string"),
+            ("price", "bigint"), ("rooms", "double"), ("area_sqm", "int"), ("floor", "int"), ("availability_date", "date"),
+            ("description", "string"), ("has_balcony", "boolean"), ("image_urls", "array<string>"), ("latitude", "double"),
+            ("longitude", "double"), ("is_rental", "boolean")))) + ") c(position, \"column\", type)",
     "one_hot": """SELECT id, cs AS city_slot, rs AS region_slot FROM properties
         JOIN (SELECT city, row_number() OVER (ORDER BY count(*) DESC, city) - 1 AS cs FROM properties
               WHERE city IS NOT NULL AND region IS NOT NULL GROUP BY city) USING (city)
@@ -515,7 +551,8 @@ def _with_chain(sql: str) -> str:
     visit(sql)
     if not order:
         return sql
-    return "WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in order) + " " + sql
+    chain = "WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in order)
+    return chain + (", " + sql[5:] if sql.startswith("WITH ") else " " + sql)
 
 
 def oracles() -> dict[str, str]:

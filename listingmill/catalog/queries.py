@@ -408,7 +408,8 @@ def log_target(t: Tables) -> DataFrame:
 def augment_rare(t: Tables) -> DataFrame:
     flagged = ft.size_floor_flags(t.properties).select(
         "id", "price", "rooms", "area_sqm", "floor", *ft.RARE_FLAGS)
-    return ft.augment_rare(flagged, ("price", "rooms", "area_sqm", "floor"))
+    rows = ft.augment_rare(flagged, ("price", "rooms", "area_sqm", "floor"))
+    return rows.select("id", r("price", 5), r("rooms", 7), r("area_sqm", 6), r("floor", 7), *ft.RARE_FLAGS, "augmented")
 
 
 @query

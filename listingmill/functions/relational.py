@@ -89,11 +89,16 @@ def equal_width_bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     return F.least(F.floor((value - lo) / width), F.lit(bins - 1)).cast("bigint")
 
 
+def hash_int(*seeds: Column | str | int, digits: int = 13) -> Column:
+    """Whole number of ``digits`` hex digits from an md5 of the arguments."""
+    cols = [F.lit(str(s)) if isinstance(s, (int, str)) else s.cast("string") for s in seeds]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, digits), 16, 10).cast("bigint")
+
+
 def uniform(*seeds: Column | str | int) -> Column:
     """Uniform (0, 1) number from a hash of its arguments: a recomputed task
-    draws the same value again, unlike ``rand``."""
-    cols = [F.lit(s) if isinstance(s, (int, str)) else s for s in seeds]
-    return (F.pmod(F.xxhash64(*cols), F.lit(2**52)).cast("double") + 0.5) / F.lit(float(2**52))
+    draws the same value again, unlike ``rand``, and any engine with md5 can."""
+    return (hash_int(*seeds).cast("double") + 0.5) / F.lit(float(2**52))
 
 
 def gaussian(*seeds: Column | str | int) -> Column:

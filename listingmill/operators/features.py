@@ -221,7 +221,7 @@ def augment_rare(df: DataFrame, numeric: Sequence[str], flags: Sequence[str] = R
     pool = df.select(key, F.explode(hit).alias("flag"))
     # Rank inside 4096 hash buckets per flag plus the rows of earlier buckets:
     # a dense number without sorting a flag's pool in one task.
-    bucket = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(4096))
+    bucket = rel.hash_int(seed, F.col(key), digits=3)
     pool = pool.withColumn("bucket", bucket)
     sizes = pool.groupBy("flag", "bucket").agg(F.count(F.lit(1)).alias("rows"))
     earlier = W.partitionBy("flag").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)

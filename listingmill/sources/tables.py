@@ -17,8 +17,8 @@ def load_properties(clean: DataFrame, key: str = "src_id") -> DataFrame:
     """Cleaned listings as rows of the property table.
 
     Area and rooms become doubles with 0 as null, the amenity flags are added,
-    and ids count 1..n in ``key`` order (a unique number), whatever the layout
-    of the data.
+    and ids count 1..n in ``key`` order (a unique running number), whatever the
+    layout of the data.
     """
     def positive(column: str):
         return F.nullif(number(F.col(column).cast("string")), F.lit(0.0))
@@ -48,8 +48,16 @@ def save_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("is_rental").parquet(path)
 
 
-def scan_properties(spark: SparkSession, path: str) -> DataFrame:
-    """All rows and columns; later filters and projections reach the files."""
+def scan_properties(spark: SparkSession, path: str | None = None, table: str | None = None,
+                    jdbc: dict[str, str] | None = None) -> DataFrame:
+    """All rows and columns of the stored properties: Parquet files, a catalog
+    table or a database.  Later filters and projections reach the source; a
+    database is read in parallel when ``jdbc`` names ``partitionColumn``,
+    ``lowerBound``, ``upperBound`` and ``numPartitions``."""
+    if jdbc is not None:
+        return spark.read.format("jdbc").options(**{"dbtable": "properties", **jdbc}).load()
+    if table is not None:
+        return spark.table(table)
     return spark.read.schema(PROPERTY).parquet(path)
 
 
