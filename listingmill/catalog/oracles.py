@@ -493,6 +493,10 @@ ORACLES: dict[str, str] = {
         coalesce(availability_date, '2025-01-01') AS availability_date
         FROM (SELECT *, concat_ws(', ', {", ".join(
             f"CASE WHEN coalesce({c}, '') = '' THEN '{c}' END" for c in vocab.REQUEST_REQUIRED)}) AS missing FROM requests)""",
+    "linear_single": " UNION ALL ".join(
+        f"""SELECT '{mode}' AS mode, round(regr_slope(price, area_sqm), 4) AS slope, round(regr_intercept(price, area_sqm), 3) AS intercept,
+        round(regr_r2(price, area_sqm), 6) AS r2 FROM properties WHERE {side}"""
+        for mode, side in (("rental", "price < 10000"), ("purchase", "price > 80000"))),
     "describe_all": " UNION ALL ".join([
         *[f"""SELECT '{c}' AS "column", (SELECT count({c}) FROM clean_listings) AS "count", (SELECT count(DISTINCT {c}) FROM clean_listings) AS "unique",
             md5(v) AS top, n AS freq, NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS "min", NULL::DOUBLE AS q25, NULL::DOUBLE AS q50,

@@ -591,6 +591,12 @@ def linear_model(t: Tables) -> DataFrame:
     return _per_mode({m: pricing.holdout_metrics(model, t.sides(m)[1]) for m, model in t.linear.items()})
 
 
+@query
+def linear_single(t: Tables) -> DataFrame:
+    return _per_mode({m: pricing.single_feature_line(ft.mode_filter(t.properties, m)).select(
+        r("slope", 4), r("intercept", 3), r("r2", 6)) for m in ft.MODES})
+
+
 @query
 def forest_model(t: Tables) -> DataFrame:
     return _per_mode({m: pricing.holdout_metrics(model, t.sides(m)[1]) for m, (model, _) in t.forest.items()})

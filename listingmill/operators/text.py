@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer, StopWordsRemover)
-from pyspark.sql import DataFrame
+    CountVectorizerModel, ElementwiseProduct, Normalizer, RegexTokenizer, StopWordsRemover)
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,11 +17,16 @@ from listingmill import vocab
 from listingmill.functions import text as tx
 
 
-def _terms(docs: DataFrame, key: str, text: str, stop_words: Sequence[str]) -> DataFrame:
-    words = tx.words(F.coalesce(F.col(text), F.lit("")))
+def _terms(docs: DataFrame, words: Column, stop_words: Sequence[str], *keys: str) -> DataFrame:
+    """One row per word that is not a stop word."""
+    return docs.select(*keys, F.explode(words).alias("term")).where(~F.col("term").isin(*stop_words))
+
+
+def _vocabulary(terms: DataFrame, max_features: int) -> DataFrame:
+    """The most frequent terms, equal counts by term."""
     return (
-        docs.select(key, F.explode(words).alias("term"))
-        .where(~F.col("term").isin(*stop_words))
+        terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+        .orderBy(F.desc("total"), "term").limit(max_features).select("term")
     )
 
 
@@ -35,11 +41,8 @@ def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text", max_features
     Two passes over the texts: the first only shuffles counts per term, the
     second only words of the vocabulary.
     """
-    terms = _terms(docs, key, text, stop_words)
-    vocabulary = (
-        terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
-        .orderBy(F.desc("total"), "term").limit(max_features).select("term")
-    )
+    terms = _terms(docs, tx.words(F.coalesce(F.col(text), F.lit(""))), stop_words, key)
+    vocabulary = _vocabulary(terms, max_features)
     per_doc = (
         terms.join(F.broadcast(vocabulary), "term")  # max_features rows
         .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -81,17 +84,24 @@ def text_vectoriser(docs: DataFrame, text: str = "description", max_features: in
                     stop_words: Sequence[str] = vocab.STOP_WORDS) -> PipelineModel:
     """The same weights as sparse vectors (``text_vec``), as a fitted pipeline.
 
-    ML's idf lacks the +1, so term counts are scaled by idf + 1 directly.
+    Vocabulary and document counts (at most ``max_features`` rows) come from
+    two aggregates; a vector is the term counts scaled by idf, at length 1.
     """
-    counts = Pipeline(stages=[
+    words = tx.words(F.coalesce(F.col(text), F.lit("")))
+    vocabulary = _vocabulary(_terms(docs, words, stop_words), max_features)
+    once = _terms(docs, F.array_distinct(words), stop_words)
+    counted = dict(
+        once.join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect())
+    terms, size = sorted(counted), docs.count()
+    count = CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol="_counts")
+    scale = [math.log((1 + size) / (1 + counted[t])) + 1 for t in terms]
+    return PipelineModel(stages=[
         RegexTokenizer(inputCol="_text", outputCol="_words", gaps=False, pattern=tx.WORD + "{2,}"),
         StopWordsRemover(inputCol="_words", outputCol="_terms", stopWords=list(stop_words)),
-        CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=max_features),
-    ]).fit(_with_text(docs, text))
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counts.transform(_with_text(docs, text)))
-    scale = ElementwiseProduct(inputCol="_counts", outputCol="_weights", scalingVec=[v + 1.0 for v in idf.idf])
-    norm = Normalizer(inputCol="_weights", outputCol="text_vec", p=2.0)
-    return PipelineModel(stages=[*counts.stages, scale, norm])
+        count,
+        ElementwiseProduct(inputCol="_counts", outputCol="_weights", scalingVec=scale),
+        Normalizer(inputCol="_weights", outputCol="text_vec", p=2.0),
+    ])
 
 
 def _with_text(docs: DataFrame, text: str) -> DataFrame:

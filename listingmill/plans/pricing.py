@@ -153,6 +153,15 @@ def linear_model(train: DataFrame) -> PipelineModel:
     return _fit(train, _listing_stages, LinearRegression(labelCol="price", maxIter=50), None, "price", 0)[0]
 
 
+def single_feature_line(df: DataFrame, feature: str = "area_sqm", target: str = "price") -> DataFrame:
+    """Least squares on one feature: (slope, intercept, r2)."""
+    rows = VectorAssembler(inputCols=[feature], outputCol="features", handleInvalid="skip").transform(
+        df.select(F.col(feature).cast("double").alias(feature), F.col(target).cast("double").alias(target)))
+    model = LinearRegression(labelCol=target, solver="normal").fit(rows)
+    values = [(float(model.coefficients[0]), float(model.intercept), float(model.summary.r2))]
+    return df.sparkSession.createDataFrame(values, "slope double, intercept double, r2 double")
+
+
 def forest_model(train: DataFrame, grid: Mapping[str, Sequence] = SMALL_FOREST_GRID, folds: int = 3,
                  seed: int = 42) -> tuple[PipelineModel, DataFrame]:
     """Random forest with a searched grid: the pipeline and the grid report."""
