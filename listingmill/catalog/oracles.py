@@ -221,7 +221,10 @@ SELECT * REPLACE (src_id + 1000000000 AS src_id, CASE WHEN src_id % 2 = 0 THEN u
 
 # --- pages ------------------------------------------------------------------
 
-_TAGS = "trim(replace(regexp_replace({}, '<[^>]*>', '', 'g'), '&amp;', '&'))"
+_TAGS = "regexp_replace({}, '<[^>]*>', '', 'g')"
+for _entity, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    _TAGS = f"replace({_TAGS}, '{_entity}', '{_char}')"
+_TAGS = f"trim({_TAGS})"
 
 
 def bare(text: str) -> str:
