@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 from listingmill.functions import text as tx
 
+# Classes and labels of the two page layouts.
 LAYOUTS = ("thumb", "card")
+THUMB_CARD, THUMB_LINK, THUMB_IMAGE = "listing-thumb", "listing-thumb__image", "listing-image"
+THUMB_HEADER, THUMB_PRICE, THUMB_PLACE = "listing-thumb-header", "price", "listing-thumb-title__location"
+THUMB_HEADING, THUMB_BODY = "user-generated-content", "markdown"
+THUMB_LABELS = {
+    "rooms": "Number of rooms:", "floor": "Floor:", "area_sqm": "Livingspace:",
+    "availability_date": "Available:", "facilities": "Facilities:",
+}
+THUMB_BALCONY = "Balcony"
+CARD, CARD_PRICE, CARD_TEXT = "listing", "card-title", "card-text"
+CARD_BODY, CARD_SLIDE = "description", "swiper-slide"
+CARD_LABELS = {"rooms": "zimmer", "floor": "etage", "area_sqm": "fläche", "availability_date": "verfügbar"}
+CARD_BALCONY = "balkon"
+
 # With the (?s) flag a dot scans several times faster than a class of everything.
 _ANY = "."
 
@@ -51,16 +65,16 @@ def extract_cards_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    opening = _tag("div", "listing-thumb") if layout == "thumb" else _tag("a", "listing")
+    opening = _tag("div", THUMB_CARD) if layout == "thumb" else _tag("a", CARD)
     cards = pages.select("page_id", "base_url", F.posexplode(_blocks(F.col(html), opening)).alias("position", "block"))
     block = F.col("block")
     if layout == "thumb":
-        link = _attribute(F.regexp_extract(block, _tag("a", "listing-thumb__image"), 0), "href")
+        link = _attribute(F.regexp_extract(block, _tag("a", THUMB_LINK), 0), "href")
         title = _attribute(F.regexp_extract(
-            block, rf"(?s){_tag('[a-z]+', 'listing-image')}{_ANY}*?(<img[^>]*>)", 1), "alt")
-        address = _attribute(F.regexp_extract(block, _tag("header", "listing-thumb-header"), 0), "title")
-        price_text = F.regexp_extract(block, rf"{_tag('span', 'price')}([^<]*)", 1)
-        place = tx.trim_ws(F.regexp_extract(block, rf"{_tag('[a-z0-9]+', 'listing-thumb-title__location')}([^<]*)", 1))
+            block, rf"(?s){_tag('[a-z]+', THUMB_IMAGE)}{_ANY}*?(<img[^>]*>)", 1), "alt")
+        address = _attribute(F.regexp_extract(block, _tag("header", THUMB_HEADER), 0), "title")
+        price_text = F.regexp_extract(block, rf"{_tag('span', THUMB_PRICE)}([^<]*)", 1)
+        place = tx.trim_ws(F.regexp_extract(block, rf"{_tag('[a-z0-9]+', THUMB_PLACE)}([^<]*)", 1))
         found = cards.withColumns({"_place": place, "_price": price_text, "_link": link}).withColumns({
             "zip_code": _none_if_empty(F.regexp_extract("_place", r"^([0-9]{4})\s+(.*)", 1)),
             "city": _none_if_empty(F.regexp_extract("_place", r"^([0-9]{4})\s+(.*)", 2)),
@@ -69,9 +83,9 @@ def extract_cards_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
     else:
         link = _attribute(F.regexp_extract(block, opening, 0), "href")
         title = tx.strip_tags(F.regexp_extract(
-            block, rf"(?s){_tag('p', 'card-text')}{_ANY}*?<strong[^>]*>({_ANY}*?)</strong>", 1))
-        price_text = tx.strip_tags(F.regexp_extract(block, rf"(?s){_tag('h3', 'card-title')}({_ANY}*?)</h3>", 1))
-        texts = F.regexp_extract_all(block, F.lit(rf"(?s){_tag('p', 'card-text')}({_ANY}*?)</p>"), F.lit(1))
+            block, rf"(?s){_tag('p', CARD_TEXT)}{_ANY}*?<strong[^>]*>({_ANY}*?)</strong>", 1))
+        price_text = tx.strip_tags(F.regexp_extract(block, rf"(?s){_tag('h3', CARD_PRICE)}({_ANY}*?)</h3>", 1))
+        texts = F.regexp_extract_all(block, F.lit(rf"(?s){_tag('p', CARD_TEXT)}({_ANY}*?)</p>"), F.lit(1))
         lines = F.split(F.get(texts, F.lit(1)), r"<br\s*/?>")
         lines = F.filter(lines, lambda x: ~x.rlike(r"^\s*$"))
         found = (
@@ -123,16 +137,16 @@ def extract_details_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
             return F.get(F.transform(hits, lambda p: p["value"]), F.size(hits) - 1)
 
         heading = F.regexp_extract_all(
-            page, F.lit(rf"(?s){_tag('strong', 'user-generated-content')}({_ANY}*?)</strong>"), F.lit(1))
-        body = F.regexp_extract(page, rf"(?s){_tag('div', 'markdown')}({_ANY}*?)</div>", 1)
+            page, F.lit(rf"(?s){_tag('strong', THUMB_HEADING)}({_ANY}*?)</strong>"), F.lit(1))
+        body = F.regexp_extract(page, rf"(?s){_tag('div', THUMB_BODY)}({_ANY}*?)</div>", 1)
         paragraphs = F.regexp_extract_all(body, F.lit(rf"(?s)<p\b[^>]*>({_ANY}*?)</p>"), F.lit(1))
         parts = F.transform(F.concat(F.slice(heading, 1, 1), paragraphs), tx.strip_tags)
         return (
             pages.withColumns({"_pairs": pairs, "_parts": parts})
             .select(
-                "page_id", look("Number of rooms:").alias("rooms"), look("Floor:").alias("floor"),
-                look("Livingspace:").alias("area_sqm"), look("Available:").alias("availability_date"),
-                F.coalesce(look("Facilities:").contains("Balcony"), F.lit(False)).alias("has_balcony"),
+                "page_id",
+                *[look(THUMB_LABELS[c]).alias(c) for c in ("rooms", "floor", "area_sqm", "availability_date")],
+                F.coalesce(look(THUMB_LABELS["facilities"]).contains(THUMB_BALCONY), F.lit(False)).alias("has_balcony"),
                 F.when(F.size("_parts") > 0, F.array_join("_parts", "\n\n")).alias("description"))
         )
     if layout != "card":
@@ -145,13 +159,12 @@ def extract_details_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
             F.filter("_pairs", lambda p: F.lower(p["label"]).contains(word)), lambda p: p["value"]), F.lit(0))
 
     balcony = F.exists(
-        "_pairs", lambda p: F.lower(p["label"]).contains("balkon") & p["markup"].contains("<svg"))
-    description = F.regexp_extract_all(page, F.lit(rf"(?s){_tag('div', 'description')}({_ANY}*?)</div>"), F.lit(1))
+        "_pairs", lambda p: F.lower(p["label"]).contains(CARD_BALCONY) & p["markup"].contains("<svg"))
+    description = F.regexp_extract_all(page, F.lit(rf"(?s){_tag('div', CARD_BODY)}({_ANY}*?)</div>"), F.lit(1))
     return (
         pages.withColumns({"_pairs": pairs, "_text": F.get(description, F.lit(0))})
         .select(
-            "page_id", look("zimmer").alias("rooms"), look("etage").alias("floor"), look("fläche").alias("area_sqm"),
-            look("verfügbar").alias("availability_date"), balcony.alias("has_balcony"),
+            "page_id", *[look(word).alias(c) for c, word in CARD_LABELS.items()], balcony.alias("has_balcony"),
             tx.strip_tags(F.col("_text")).alias("description"))
     )
 
@@ -165,7 +178,7 @@ def extract_image_urls(pages: DataFrame, html: str, layout: str) -> DataFrame:
             rf'(?s)<figure\b[^>]*ImageObject"[^>]*>{_ANY}*?(<a\b[^>]*itemprop="contentUrl"[^>]*>)'), F.lit(1))
         links = F.transform(tags, lambda t: _attribute(t, "href"))
     elif layout == "card":
-        tags = F.regexp_extract_all(page, F.lit(rf"(?s){_tag('div', 'swiper-slide')}{_ANY}*?(<img\b[^>]*>)"), F.lit(1))
+        tags = F.regexp_extract_all(page, F.lit(rf"(?s){_tag('div', CARD_SLIDE)}{_ANY}*?(<img\b[^>]*>)"), F.lit(1))
         links = F.transform(tags, lambda t: _attribute(t, "src"))
     else:
         raise ValueError(f"layout must be one of {LAYOUTS}")
