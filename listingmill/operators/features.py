@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, time
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -66,9 +67,11 @@ def availability_features(df: DataFrame, run_ts: str, fill: int | None = None) -
     to today is day -1 for any time of day after midnight), and a flag for
     within 30 days.  Without a date the days are null and the flag 0; ``fill``
     puts a number of days in place first."""
-    seconds = F.unix_timestamp(F.col("availability_date").cast("timestamp")) - F.unix_timestamp(
-        F.lit(run_ts).cast("timestamp"))
-    days = F.floor(seconds / 86_400).cast("bigint")
+    now = datetime.fromisoformat(run_ts)
+    # Calendar days, so that neither time zone nor daylight saving counts; any
+    # time after midnight has used up part of the first day.
+    started = int(now.time() != time.min)
+    days = (F.datediff("availability_date", F.lit(now.date())) - started).cast("bigint")
     if fill is not None:
         days = F.coalesce(days, F.lit(fill))
     return (
