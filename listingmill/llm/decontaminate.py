@@ -34,19 +34,24 @@ def _starts(words: Column, width: int) -> Column:
         F.array().cast("array<int>"))
 
 
-def _shingles(words: Column, width: int) -> Column:
-    return F.array_distinct(F.transform(_starts(words, width), lambda i: F.array_join(F.slice(words, i, width), " ")))
+def _with_shingles(rows: DataFrame, name: str, width: int) -> DataFrame:
+    """Adds the set of shingles of ``words``. (Lists that a lambda looks into are columns, or each step would rebuild them.)"""
+    placed = rows.withColumn("at", _starts(F.col("words"), width))
+    return placed.withColumn(name, F.array_distinct(F.transform(
+        "at", lambda i: F.array_join(F.slice("words", i, width), " ")))).drop("at")
 
 
-def _hashes(words: Column, width: int) -> Column:
-    """One hash per shingle position, from the hashes of its words."""
-    each = F.transform(words, lambda w: F.xxhash64(w))
-    return F.transform(_starts(words, width), lambda i: F.xxhash64(*[F.get(each, i - 1 + k) for k in range(width)]))
+def _with_hashes(rows: DataFrame, width: int) -> DataFrame:
+    """Adds one hash per shingle position, from the hashes of its words."""
+    placed = rows.withColumn("each", F.transform("words", lambda w: F.xxhash64(w))).withColumn(
+        "at", _starts(F.col("words"), width))
+    return placed.withColumn("hashes", F.transform(
+        "at", lambda i: F.xxhash64(*[F.get("each", i - 1 + k) for k in range(width)]))).drop("each", "at")
 
 
 def _signatures(items: DataFrame, width: int, threshold: float) -> DataFrame:
     """(hash, item_key): the smallest hashes of each item, as many as its size partition asks for."""
-    sized = items.select("item_key", F.array_sort(F.array_distinct(_hashes(F.col("words"), width))).alias("hashes"))
+    sized = _with_hashes(items, width).select("item_key", F.array_sort(F.array_distinct("hashes")).alias("hashes"))
     sized = sized.filter(F.size("hashes") > 0)
     upper = F.pow(F.lit(2.0), F.ceil(F.log2(F.size("hashes").cast("double"))))  # partitions of doubling size
     length = (F.floor(upper * (1 - threshold) + 1e-9) + 1).cast("int")
@@ -60,17 +65,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, thre
     signatures = stage(_signatures(items, width, threshold), "signatures")
     rows = docs.select(docs["doc_id"], docs["text"]).withColumn(
         "doc_key", F.struct("doc_id", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h")))
-    probes = rows.select("doc_key", F.explode(F.array_distinct(_hashes(_words(F.col("text")), width))).alias("hash"))
+    worded = rows.select("doc_key", _words(F.col("text")).alias("words"))
+    probes = _with_hashes(worded, width).select("doc_key", F.explode("hashes").alias("hash"))
     small = signatures.count() <= BROADCAST_ROWS
     met = probes.join(F.broadcast(signatures) if small else signatures, "hash")
     candidates = stage(met.select("doc_key", "item_key").distinct(), "candidates")
 
     texts = rows.join(candidates.select("doc_key").distinct(), "doc_key", "left_semi").dropDuplicates(["doc_key"])
-    theirs = candidates.join(texts.select("doc_key", "text"), "doc_key")
-    ours = items.select("item_key", _shingles(F.col("words"), width).alias("item_set"))
+    ours = _with_shingles(items, "item_set", width).select("item_key", "item_set")
+    worded = _with_shingles(texts.select("doc_key", _words(F.col("text")).alias("words")), "doc_set", width)
+    theirs = candidates.join(worded.select("doc_key", "doc_set"), "doc_key")
     both = theirs.join(ours, "item_key").select(
-        F.col("doc_key.doc_id").alias("doc_id"), F.col("item_key.item_id").alias("item_id"),
-        _shingles(_words(F.col("text")), width).alias("doc_set"), "item_set")
+        F.col("doc_key.doc_id").alias("doc_id"), F.col("item_key.item_id").alias("item_id"), "doc_set", "item_set")
     pairs = both.select(
         "doc_id", "item_id", F.size(F.array_intersect("item_set", "doc_set")).cast("long").alias("shared"),
         F.size("item_set").cast("long").alias("item_shingles"))

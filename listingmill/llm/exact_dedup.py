@@ -68,4 +68,4 @@ def drop_exact_duplicates(docs: DataFrame, normalise: Callable[[Column], Column]
     rows = docs.withColumn("__body_sha", F.unhex(F.sha2(_normal(docs, normalise), 256)))
     met = rows.join(groups, F.col("__body_sha") == F.col("__sha")).filter(docs["doc_id"].eqNullSafe(F.col("__keep")))
     one = met.withColumn("__place", F.row_number().over(Window.partitionBy("__body_sha").orderBy("__keep")))
-    return one.filter("__place = 1").drop("__place", "__sha", "__keep", "__body_sha")
+    return one.filter("__place = 1").select(*docs.columns)

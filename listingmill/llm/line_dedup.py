@@ -15,7 +15,7 @@ than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listingmill.sources.workspace import stage
@@ -23,19 +23,15 @@ from listingmill.sources.workspace import stage
 MIN_LINES = 3
 
 
-def _pairs(names: Column, step: int) -> Column:
-    """Name of each position joined with the name ``step`` lines on."""
-    tail = F.slice(names, F.lit(step + 1), F.greatest(F.size(names) - step, F.lit(0)))
-    return F.transform(tail, lambda right, i: F.unhex(F.md5(F.concat(F.element_at(names, i + 1), right))))
-
-
 def _run_names(docs: DataFrame, min_lines: int) -> DataFrame:
-    """(key, names): one name per position from which ``min_lines`` lines follow."""
-    out = docs.select("key", F.transform(F.split("body", "\n", -1), lambda x: F.unhex(F.md5(x))).alias("names"))
-    have = 1
+    """(key, names): one name per position from which ``min_lines`` lines follow. (``names`` and ``tail`` are columns
+    before a lambda looks into them, or each step would rebuild them.)"""
+    out, have = docs.select("key", F.transform(F.split("body", "\n", -1), lambda x: F.unhex(F.md5(x))).alias("names")), 1
     while have < min_lines:
         step = min(have, min_lines - have)
-        out = out.select("key", _pairs(F.col("names"), step).alias("names"))
+        rest = F.slice("names", F.lit(step + 1), F.greatest(F.size("names") - step, F.lit(0)))
+        out = out.withColumn("tail", rest).select("key", F.transform(
+            "tail", lambda right, i: F.unhex(F.md5(F.concat(F.get("names", i), right)))).alias("names"))
         have += step
     return out
 
