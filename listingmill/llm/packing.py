@@ -33,7 +33,7 @@ from listingmill.sources.workspace import stage
 SIZE = 2048
 END_ID = 1
 CLASS_WIDTH = 4
-GAP = 1e-4
+GAP = 5e-4
 MAX_COLUMNS = 4000
 BUCKET_ROWS = 200_000
 

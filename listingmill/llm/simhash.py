@@ -38,7 +38,7 @@ def _spread(h: np.ndarray, lane: int) -> np.ndarray:
     """Further independent 64 bits from a hash, for fingerprints of more than 64 bits."""
     if lane == 0:
         return h
-    x = h + np.uint64(lane) * np.uint64(0x9E3779B97F4A7C15)
+    x = h + np.uint64(lane * 0x9E3779B97F4A7C15 % (1 << 64))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
