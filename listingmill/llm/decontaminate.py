@@ -52,10 +52,10 @@ def _with_hashes(rows: DataFrame, width: int) -> DataFrame:
 def _signatures(items: DataFrame, width: int, threshold: float) -> DataFrame:
     """(hash, item_key): the smallest hashes of each item, as many as its size partition asks for."""
     sized = _with_hashes(items, width).select("item_key", F.array_sort(F.array_distinct("hashes")).alias("hashes"))
-    sized = sized.filter(F.size("hashes") > 0)
-    upper = F.pow(F.lit(2.0), F.ceil(F.log2(F.size("hashes").cast("double"))))  # partitions of doubling size
+    upper = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.size("hashes"), F.lit(1)).cast("double"))))  # partitions of doubling size
     length = (F.floor(upper * (1 - threshold) + 1e-9) + 1).cast("int")
-    return sized.select(F.explode(F.slice("hashes", F.lit(1), length)).alias("hash"), "item_key")
+    found = sized.select(F.explode_outer(F.slice("hashes", F.lit(1), length)).alias("hash"), "item_key")
+    return found.filter("hash is not null")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
@@ -66,7 +66,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, thre
     rows = docs.select(docs["doc_id"], docs["text"]).withColumn(
         "doc_key", F.struct("doc_id", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h")))
     worded = rows.select("doc_key", _words(F.col("text")).alias("words"))
-    probes = _with_hashes(worded, width).select("doc_key", F.explode("hashes").alias("hash"))
+    # outer, as the planner would otherwise test each list for being empty before it is built, and so build it twice
+    probes = _with_hashes(worded, width).select("doc_key", F.explode_outer("hashes").alias("hash"))
     small = signatures.count() <= BROADCAST_ROWS
     met = probes.join(F.broadcast(signatures) if small else signatures, "hash")
     candidates = stage(met.select("doc_key", "item_key").distinct(), "candidates")

@@ -42,7 +42,8 @@ def line_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     rows = docs.select(docs["doc_id"].alias("doc_id"), body.alias("body")).withColumn(
         "key", F.struct(F.col("doc_id"), F.unhex(F.md5("body")).alias("h")))
     named = _run_names(rows, min_lines)
-    positions = stage(named.select("key", F.posexplode("names").alias("line", "name")), "line-names")
+    # outer, as the planner would otherwise test each list for being empty before it is built, and so build it twice
+    positions = stage(named.select("key", F.posexplode_outer("names").alias("line", "name")).filter("name is not null"), "line-names")
     first = positions.groupBy("name").agg(
         F.min(F.struct("key", "line")).alias("first"), F.max(F.struct("key", "line")).alias("last"))
     repeated = first.filter("first != last").select("name", "first")

@@ -29,7 +29,7 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
   sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 
-_WORDS = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), w -> w <> '')"
+_WORDS = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
 
 
 def _shingles(key: str, table: str) -> str:
