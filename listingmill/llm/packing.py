@@ -193,9 +193,10 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, width: int = CLASS_WIDTH)
 
 def _rest(pieces: DataFrame, left: DataFrame, first: int, size: int) -> DataFrame:
     """What the rounding left, end to end. At most one use of each pattern, so its rows are bounded by the classes."""
-    line = left.withColumn("from", F.coalesce(F.sum("length").over(
-        Window.orderBy("units", "rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    total = int(left.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+    line = left.select("uid", "length", F.coalesce(F.sum("length").over(
+        Window.orderBy("units", "rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("from"))
+    line = stage(line, "rest")  # its true size lets the planner broadcast it rather than shuffle all ids
+    total = int(line.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
     # ends of the sequences: full ones, then the powers of two of what is left
     full = total // size * size
     tail = [1 << b for b in range(size.bit_length() - 1, -1, -1) if (total - full) >> b & 1]
