@@ -1,7 +1,7 @@
 """Exact duplicates by content sort.
 
-Texts are range-partitioned with sampled splitters on (text, salt), sorted externally, and neighbours are compared in
-full: equal texts are adjacent, and each run keeps one identifier. The salt is a hash of the identifier, so the splitters
+Texts are range-partitioned with sampled splitters on (head of the text, salt), sorted externally, and neighbours are
+compared in full: equal texts are adjacent, and each run keeps one identifier. The salt is a hash of the identifier, so the splitters
 may cut through a group of copies of any size; what the salts of one text have found is merged by SHA-256, a few rows per
 text. Only built-in functions are used.
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from listingmill.sources.workspace import stage
 
 SALTS = 4096
+HEAD_CHARS = 64
 
 
 def unchanged(text: Column) -> Column:
@@ -42,9 +43,10 @@ def exact_duplicates(docs: DataFrame, normalise: Callable[[Column], Column] = un
     best = F.max if keep == "largest" else F.min
     rows = docs.select(docs["doc_id"], _normal(docs, normalise).alias("body"))
     rows = rows.select("doc_id", "body", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
-    ranged = rows.repartitionByRange("body", "salt")
-    run = Window.partitionBy("body", "salt").orderBy(_better("doc_id", keep))
-    whole = Window.partitionBy("body", "salt")
+    # splitters are sampled from the heads, as whole texts would be too large for the driver
+    ranged = rows.withColumn("head", F.substring("body", 1, HEAD_CHARS)).repartitionByRange("head", "salt")
+    whole = Window.partitionBy("head", "salt", "body")
+    run = whole.orderBy(_better("doc_id", keep))
     runs = stage(ranged.select(
         "doc_id", F.unhex(F.sha2("body", 256)).alias("sha"), "salt", F.row_number().over(run).alias("place"),
         best("doc_id").over(whole).alias("run_best"), F.count(F.lit(1)).over(whole).alias("run_size")), "exact-runs")
