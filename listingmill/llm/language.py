@@ -81,11 +81,13 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 def _table(moves: list[dict[int, int]], width: int) -> np.ndarray:
-    """Next state for state * width + symbol, times two, plus one if a phrase ends before the symbol."""
+    """Next state for state * width + symbol, times two, plus one if a new phrase begins with the symbol.
+
+    State 0 is between phrases; a symbol that no sample has is a phrase of its own."""
     first = np.array([moves[0].get(c, 0) for c in range(width)], dtype=np.int32)
     out = np.tile(first * 2 + 1, len(moves))
-    rows = np.fromiter((s * width + c for s, m in enumerate(moves) for c in m), dtype=np.int64)
-    out[rows] = np.fromiter((2 * t for m in moves for t in m.values()), dtype=np.int32)
+    rows = np.fromiter(((s + 1) * width + c for s, m in enumerate(moves[1:]) for c in m), dtype=np.int64)
+    out[rows] = np.fromiter((2 * t for m in moves[1:] for t in m.values()), dtype=np.int32)
     return out
 
 
@@ -123,7 +125,7 @@ class Parser:
         active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")
         out = np.zeros((len(self.tables), len(starts)), dtype=np.int64)
         for k, table in enumerate(self.tables):
-            state, count = np.zeros(len(begin), dtype=np.int32), np.ones(len(begin), dtype=np.int64)
+            state, count = np.zeros(len(begin), dtype=np.int32), np.zeros(len(begin), dtype=np.int64)
             for step, n in enumerate(active):
                 move = table[state[:n] * self.width + symbols[begin[:n] + step]]
                 count[:n] += move & 1
