@@ -4,7 +4,9 @@ A fingerprint has a bit for each position that is set in more than half of a tex
 fingerprint are one node, so copies never meet as pairs. Nodes are cut into tiles by population count, and only pairs of tiles
 whose counts differ by at most the radius can hold links; each such pair is one group, compared in blocks with numpy's
 exclusive-or and bit counts. All nodes take part, nothing is sampled: the work is quadratic in distinct fingerprints, less
-what the counts skip. A pair of tiles returns a spanning forest of its links, at most one row per node, never all pairs.
+what the counts skip. Where the radius is small against the width, tiles hold only fingerprints that agree in two of
+``radius + 2`` blocks of bits, as any pair of a link must, and the work follows the input; the links are the same. A pair of
+tiles returns a spanning forest of its links, at most one row per node, never all pairs.
 Components come from alternating large-star and small-star steps over these rows, written to the shared folder each round.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero and links like any other; rows with a
@@ -29,6 +31,8 @@ from listingmill.sources.workspace import stage
 
 SEED = 42
 TILE = 8192
+SMALL = 64
+KEY_BITS = 32
 CHUNK = 1 << 20
 
 
@@ -99,7 +103,7 @@ def fingerprints(docs: DataFrame, size: int = 3, bits: int = 64) -> DataFrame:
 
 # --- tiles ------------------------------------------------------------------------
 
-def _lanes(fps: pd.Series) -> np.ndarray:
+def _lanes(fps: pd.Series | np.ndarray) -> np.ndarray:
     """(lanes, n) unsigned 64-bit."""
     if not len(fps):
         return np.zeros((1, 0), dtype=np.uint64)
@@ -156,9 +160,87 @@ def _compare(left: pd.DataFrame, right: pd.DataFrame | None, radius: int) -> pd.
     return pd.DataFrame({"fp": fps[mine], "other": fps[root[mine]]})
 
 
-def links(nodes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
+def links(nodes: DataFrame, radius: int, bits: int = 64) -> DataFrame:
     """(fp, other): edges that connect exactly the distinct ``fp`` of ``nodes`` within ``radius`` bits of each other."""
-    spark = nodes.sparkSession
+    blocks = radius + 2
+    if bits % (8 * blocks) == 0 and bits // blocks * 2 >= KEY_BITS:
+        return _links_by_blocks(nodes, radius, bits // 8 // blocks, blocks)
+    return _links_by_count(nodes, radius)
+
+
+def _links_by_blocks(nodes: DataFrame, radius: int, width: int, blocks: int) -> DataFrame:
+    """Within ``radius`` bits, two of ``radius + 2`` blocks of ``width`` bytes are equal, wherever the bits differ.
+
+    So only fingerprints that share two blocks are compared. A group of more than ``TILE`` is cut into tiles by hash and
+    each pair of its tiles is a group of its own; single fingerprints are left out.
+    """
+    pairs = [(a, b) for a in range(blocks) for b in range(a + 1, blocks)]
+    keys = [F.struct(F.lit(k).alias("k"), F.concat(*[F.substring("fp", 1 + width * x, width) for x in pair]).alias("v"))
+            for k, pair in enumerate(pairs)]
+    rows = nodes.select("fp", "ones", F.explode(F.array(*keys)).alias("key"))
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    placed = rows.join(sizes, "key").withColumn("tiles", F.ceil(F.col("n") / F.lit(TILE)).cast("int"))
+    placed = placed.withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
+    sent = placed.select("key", "fp", "ones", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("to")).select(
+        F.struct("key", F.least("tile", "to"), F.greatest("tile", "to")).alias("group"), "fp", "ones",
+        (F.col("tile") > F.col("to")).alias("second"))
+    # a number for each group, so that neighbours in a sorted partition can be told apart without nested values
+    sent = sent.select(F.xxhash64("group").alias("g"), F.md5(F.to_json("group")).alias("h"), "fp", "ones", "second")
+    sent = sent.repartition("g", "h").sortWithinPartitions("g", "h", "second", "ones").drop("ones")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows_ in _whole_groups(batches):
+            yield pa.RecordBatch.from_pandas(_compare_groups(rows_, radius), preserve_index=False, schema=pa.schema(
+                [("fp", pa.binary()), ("other", pa.binary())]))
+
+    return sent.mapInArrow(compare, "fp binary, other binary")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    """The rows of a sorted partition, cut between groups; a group has two tiles at most."""
+    held = None
+    for batch in batches:
+        rows = batch.to_pandas()
+        held = rows if held is None else pd.concat([held, rows], ignore_index=True)
+        last = (held["h"] == held["h"].iloc[-1]).to_numpy() if len(held) else np.zeros(0, bool)
+        if len(held) and not last.all():
+            yield held[~last]
+            held = held[last].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held
+
+
+def _compare_groups(rows: pd.DataFrame, radius: int) -> pd.DataFrame:
+    """Spanning forests of all groups of a stretch: small groups side by side, large ones tile by tile."""
+    group = (rows["h"] != rows["h"].shift()).cumsum().to_numpy() - 1
+    size = np.bincount(group, minlength=1)
+    second = rows.groupby(group)["second"].any().to_numpy()
+    large = (size > SMALL) | second
+    out = []
+    for g in np.nonzero(large)[0].tolist():
+        mine = rows[group == g]
+        out.append(_compare(mine[~mine["second"]], mine[mine["second"]] if second[g] else None, radius))
+    small = np.nonzero(~large[group])[0]
+    fps, group = rows["fp"].to_numpy()[small], group[small]
+    lanes = _lanes(fps)
+
+    def shifted():
+        for step in range(1, SMALL):
+            at = np.nonzero(group[step:] == group[:-step])[0] if step < len(group) else group[:0]
+            if not len(at):
+                return
+            far = sum(np.bitwise_count(x[at] ^ x[at + step]).astype(np.int64) for x in lanes)
+            yield at[far <= radius], at[far <= radius] + step
+
+    root = _forest(len(fps), shifted())
+    mine = np.nonzero(root != np.arange(len(fps)))[0]
+    out.append(pd.DataFrame({"fp": fps[mine], "other": fps[root[mine]]}))
+    return pd.concat(out, ignore_index=True)
+
+
+def _links_by_count(nodes: DataFrame, radius: int) -> DataFrame:
+    """All tiles whose population counts allow it, against each other."""
+    spark, tile = nodes.sparkSession, TILE
     counts = {r["ones"]: r["n"] for r in nodes.groupBy("ones").agg(F.count(F.lit(1)).alias("n")).collect()}
     # tiles in order of population count: (count, tiles of this count, first tile); a row per count, whatever the input
     ladder, first = [], 0
@@ -212,7 +294,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, bits: int = 64, radius: int
     """One row per document: doc_id, fingerprint (hex), component_id (smallest doc_id reachable over links)."""
     prints = stage(fingerprints(docs, size, bits), "fingerprints")
     nodes = stage(_nodes(prints), "nodes")
-    found = components(links(nodes, radius))
+    found = components(links(nodes, radius, bits))
     rooted = nodes.join(found, nodes["fp"] == found["node"], "left").select(
         "fp", "low_id", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
