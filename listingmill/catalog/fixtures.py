@@ -94,7 +94,8 @@ SELECT k AS src_id,
   CASE WHEN k % 19 = 0 THEN NULL WHEN k % 23 = 0 THEN 0e0 ELSE lat + (k % 100 - 50) / 1000e0 END AS latitude,
   CASE WHEN k % 19 = 0 OR k % 29 = 0 THEN NULL ELSE lon + (c % 100 - 50) / 1000e0 END AS longitude
 FROM (SELECT o_orderkey AS k, o_custkey AS c, o_totalprice FROM orders) o
-JOIN postal_ref p ON p.ord = o.k % (SELECT count(*) FROM postal_ref) + 1
+CROSS JOIN (SELECT count(*) AS places FROM postal_ref) n
+JOIN postal_ref p ON p.ord = o.k % n.places + 1
 LEFT JOIN documents d ON d.doc_id = o.k
 """
 
@@ -229,11 +230,8 @@ DERIVED = {
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.  A file of a single split would keep all but one core
-    idle, so a scan with fewer splits than cores is spread out first."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def derive(spark: SparkSession, name: str, **inputs: DataFrame) -> DataFrame:

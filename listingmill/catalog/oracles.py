@@ -309,6 +309,7 @@ ORACLES: dict[str, str] = {
         has_balcony, md5(description) AS description, {_URLS} FROM raw_listings""",
     "read_postal": """SELECT zip_code, city, region, city_clean, coalesce(listings, 0) AS listings FROM postal LEFT JOIN (
         SELECT TRY_CAST(zip_code AS INTEGER) AS zip_code, count(*) AS listings FROM raw_listings GROUP BY 1) USING (zip_code)""",
+    "clean_from_feeds": f"SELECT {_CLEAN_COLUMNS}, md5(description) AS description, {_URLS} FROM clean_listings",
     "write_clean": f"SELECT {_CLEAN_COLUMNS}, md5(description) AS description, {_URLS} FROM clean_listings",
     "scan_properties": f"SELECT id, {_CLEAN_COLUMNS}, {_FLAGS}, md5(description) AS description FROM properties",
     "scan_images": "SELECT id, property_id FROM images",
@@ -449,7 +450,7 @@ ORACLES: dict[str, str] = {
         coalesce(CAST(floor AS DOUBLE), 0e0) AS floor, coalesce(rooms, 0e0) AS rooms FROM properties""",
     "drop_text_columns": "SELECT src_id, zip_code, city, region, price, rooms, area_sqm, floor, has_balcony FROM properties",
     "tfidf": "SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
-    "silhouette_exact": """SELECT count(*) AS points, round(avg(CASE WHEN size = 1 THEN 0e0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+    "silhouette_exact": """SELECT count(*) AS points, round(avg(CASE WHEN size = 1 THEN 0e0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0e0) END), 6) AS silhouette
         FROM (SELECT x, max(size) AS size, max(CASE WHEN own THEN s / (n - 1) END) AS a, min(CASE WHEN NOT own THEN s / n END) AS b
           FROM (SELECT p.vec_id AS x, p.label = o.label AS own, o.label, sum(list_distance(p.embedding::DOUBLE[], o.embedding::DOUBLE[])) AS s,
                   count(*) AS n, max(CASE WHEN p.label = o.label THEN 1 END) AS k, sum(CASE WHEN p.label = o.label THEN 1 END) AS size

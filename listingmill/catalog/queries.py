@@ -57,16 +57,19 @@ def digest(column: str) -> Column:
 
 # --- sources and sinks ------------------------------------------------------
 
-@query
-def read_feeds(t: Tables) -> DataFrame:
-    # Feed files hold one JSON array each; a shard is 2,000 listings at most.
+def _feed(t: Tables) -> DataFrame:
+    # Feed files hold one JSON array each; a shard is 200 listings at most.
     path = fresh_path(t.spark, "feeds")
     record = F.struct(*[c for c in t.raw.columns if c not in ("latitude", "longitude")])
-    (t.raw.groupBy(F.floor(F.col("src_id") / 2000).alias("shard"))
+    (t.raw.groupBy(F.floor(F.col("src_id") / 200).alias("shard"))
         .agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(record)), ",\n"), F.lit("]")).alias("value"))
         .write.partitionBy("shard").option("lineSep", "\n").text(path))
-    feed = feeds.read_feeds(t.spark, path)
-    return feed.select(
+    return feeds.read_feeds(t.spark, path)
+
+
+@query
+def read_feeds(t: Tables) -> DataFrame:
+    return _feed(t).select(
         "title", "address", "zip_code", "city", "region", "price", "rooms", "floor", "area_sqm", "availability_date",
         "has_balcony", digest("description"), listed("image_urls"))
 
@@ -264,6 +267,15 @@ def clean_listings(t: Tables) -> DataFrame:
                      digest("description"), listed("image_urls"))
 
 
+@query
+def clean_from_feeds(t: Tables) -> DataFrame:
+    """Feed files to stored clean records: read, number, clean, write, read back."""
+    path = fresh_path(t.spark, "clean-records")
+    feeds.write_clean(clean_plan.clean_listings(feeds.number_rows(_feed(t)), t.postal, RUN_DATE), path)
+    df = feeds.read_clean(t.spark, path)
+    return df.select(*[c for c in df.columns if c not in ("description", "image_urls")], digest("description"), listed("image_urls"))
+
+
 def _with_copies(t: Tables) -> DataFrame:
     """Cleaned listings scraped twice: the second run shouts its titles and
     lists the description's punctuation differently for every other listing."""
@@ -588,7 +600,7 @@ def _per_mode(parts: dict[str, DataFrame]) -> DataFrame:
 
 @query
 def linear_model(t: Tables) -> DataFrame:
-    return _per_mode({m: pricing.holdout_metrics(model, t.sides(m)[1]) for m, model in t.linear.items()})
+    return _per_mode({m: pricing.holdout_metrics(model, t.linear_sides(m)[1]) for m, model in t.linear.items()})
 
 
 @query
@@ -609,8 +621,7 @@ def boosted_model(t: Tables) -> DataFrame:
 
 @query
 def combined_model(t: Tables) -> DataFrame:
-    model, _, test = t.combined
-    return pricing.holdout_metrics(model, test)
+    return _per_mode({m: pricing.holdout_metrics(model, test) for m, (model, _, test) in t.combined.items()})
 
 
 @query
@@ -625,7 +636,7 @@ def top_importances(t: Tables) -> DataFrame:
 
 @query
 def top_coefficients(t: Tables) -> DataFrame:
-    return _per_mode({m: pricing.top_coefficients(model, t.sides(m)[1]) for m, model in t.linear.items()})
+    return _per_mode({m: pricing.top_coefficients(model, t.linear_sides(m)[1]) for m, model in t.linear.items()})
 
 
 @query
@@ -643,7 +654,7 @@ def save_load_model(t: Tables) -> DataFrame:
     path = models.model_path(fresh_path(t.spark, "models"), "linear", "rental")
     models.fit_or_load(t.spark, path, lambda: t.linear["rental"])
     again = models.fit_or_load(t.spark, path, lambda: t.linear["purchase"])  # stored: not fitted again
-    return pricing.predict(again, t.sides("rental")[1]).select("id", "actual", r("predicted", 2))
+    return pricing.predict(again, t.linear_sides("rental")[1]).select("id", "actual", r("predicted", 2))
 
 
 # --- exploratory statistics -------------------------------------------------

@@ -131,7 +131,7 @@ class Tables:
         out = {}
         for mode in MODES:
             train, test = pricing.training_sides(self.properties, mode, RUN_TS)
-            out[mode] = stage(train, f"train-{mode}"), test
+            out[mode] = stage(train, f"train-{mode}"), stage(test, f"test-{mode}")
         return out
 
     def _both(self, fit: Callable[[str], object]) -> dict:
@@ -139,10 +139,18 @@ class Tables:
         with ThreadPoolExecutor(2) as pool:
             return dict(zip(MODES, pool.map(fit, MODES)))
 
+    def linear_sides(self, mode: str) -> tuple[DataFrame, DataFrame]:
+        return self._linear_sides[mode]
+
+    @cached_property
+    def _linear_sides(self) -> dict[str, tuple[DataFrame, DataFrame]]:
+        sides = {m: pricing.linear_sides(self.properties, m, RUN_TS) for m in MODES}
+        return {m: (stage(train, f"linear-train-{m}"), stage(test, f"linear-test-{m}")) for m, (train, test) in sides.items()}
+
     @cached_property
     def linear(self) -> dict:
-        self._sides  # before the threads start
-        return self._both(lambda m: pricing.linear_model(self.sides(m)[0]))
+        self._linear_sides  # before the threads start
+        return self._both(lambda m: pricing.linear_model(self.linear_sides(m)[0]))
 
     @cached_property
     def forest(self) -> dict:
@@ -158,6 +166,7 @@ class Tables:
 
     @cached_property
     def combined(self):
-        texts = txt.cluster_texts(self.properties)[0].drop("text_vec")
-        vectors = self.base("embeddings").withColumnRenamed("vec_id", "id")
-        return pricing.combined_model(stage(texts, "text-clusters"), vectors, "rental", RUN_TS)
+        """Per mode: pipeline, grid report, test rows. Texts are clustered and vectors pooled for all listings."""
+        texts = stage(txt.cluster_texts(self.properties)[0].drop("text_vec"), "text-clusters")
+        vectors = self.base("embeddings").withColumn("id", F.floor(F.col("vec_id") / 4) + 1)
+        return self._both(lambda m: pricing.combined_model(texts, vectors, m, RUN_TS))

@@ -213,6 +213,14 @@ def postal_rollup(postal: DataFrame) -> tuple[DataFrame, DataFrame]:
     return by_city, by_zip
 
 
+def _spread(df: DataFrame, wanted: Column, negative: bool = False) -> Column:
+    """A join key for a look-up: rows that look nothing up get keys that no table has, all over the partitions, as equal
+    or null keys would meet in one."""
+    plain = [F.col(f.name) for f in df.schema if f.dataType.typeName() not in ("array", "map", "struct")]
+    draw = F.pmod(F.xxhash64(*plain), F.lit(1_000_000)).cast("int")
+    return F.coalesce(wanted, -1 - draw if negative else F.concat(F.lit("\u0000"), draw.cast("string")))
+
+
 def backfill_location(df: DataFrame, postal: DataFrame) -> DataFrame:
     """Fill zip and region from the city, then city and region from the zip."""
     by_city, by_zip = postal_rollup(postal)
@@ -221,7 +229,7 @@ def backfill_location(df: DataFrame, postal: DataFrame) -> DataFrame:
     by_zip = by_zip.select(
         F.col("zip_code").alias("_zip"), F.col("city_clean").alias("_city"), F.col("region").alias("_region"))
     gap = F.col("zip_code").isNull() | F.col("region").isNull()
-    city_key = F.when(gap, F.lower(tx.trim_ws(F.col("city"))))
+    city_key = _spread(df, F.when(gap, F.lower(tx.trim_ws(F.col("city")))))
     from_city = (
         df.join(by_city, city_key == F.col("_city"), "left")
         .withColumns({
@@ -231,7 +239,7 @@ def backfill_location(df: DataFrame, postal: DataFrame) -> DataFrame:
     )
     gap = F.col("city").isNull() | F.col("region").isNull()
     return (
-        from_city.join(by_zip, F.when(gap, F.col("zip_code")) == F.col("_zip"), "left")
+        from_city.join(by_zip, _spread(from_city, F.when(gap, F.col("zip_code")), negative=True) == F.col("_zip"), "left")
         .withColumns({
             "city": F.coalesce("city", tx.title_case(F.col("_city"))),
             "region": F.coalesce("region", "_region"),
@@ -281,7 +289,7 @@ def impute_price(df: DataFrame, band: int = 10, bands: DataFrame | None = None)
     bands = bands.select(F.col("region").alias("_region"), F.col("area_sqm").alias("_area"), "estimate")
     gap = F.col("price").isNull()
     return (
-        df.join(bands, (F.when(gap, F.col("region")) == F.col("_region"))
+        df.join(bands, (_spread(df, F.when(gap, F.col("region"))) == F.col("_region"))
                 & (F.when(gap, F.col("area_sqm")) == F.col("_area")), "left")
         .withColumn("price", F.coalesce("price", "estimate"))
         .drop("_region", "_area", "estimate")
@@ -352,15 +360,12 @@ def duplicates(df: DataFrame, key: str = "src_id", near: bool = False) -> DataFr
     Listings are equal when all of ``EXACT_KEY`` agree.  With ``near``, when
     they advertise the same object (address, rooms, area, floor, price) with
     the same set of words, whatever their order, case or punctuation.
-    Only digests and keys are shuffled, counted before the shuffle, so a group
-    of copies may be of any size.
+    Only digests and keys are shuffled, the first key of a digest found before
+    the shuffle; the others are the keys that are no first one, so no join has
+    a digest as its key and a group of copies may be of any size.
     """
-    digests = df.select(key, _digest(near).alias("_digest"))
-    groups = (
-        digests.groupBy("_digest").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-    )
-    return digests.join(groups, "_digest").where(F.col(key) != F.col("_first")).select(key)
+    firsts = df.select(key, _digest(near).alias("_digest")).groupBy("_digest").agg(F.min(key).alias(key))
+    return df.select(key).join(firsts.select(key), key, "left_anti")
 
 
 def dedup_listings(df: DataFrame, key: str = "src_id", near: bool = False,

@@ -121,7 +121,7 @@ def density_curve(df: DataFrame, columns: Sequence[str] = DENSITY_COLUMNS, grid:
     """Gaussian kernel density on ``grid`` points from minimum to maximum, with
     Scott's bandwidth: (metric, point, x, density).
 
-    Every distinct value adds to all grid points inside its own task; only
+    A column without spread has none. Every distinct value adds to all grid points inside its own task; only
     ``grid`` partial sums per task are shuffled.
     """
     counts = (
@@ -131,10 +131,12 @@ def density_curve(df: DataFrame, columns: Sequence[str] = DENSITY_COLUMNS, grid:
     )
     n, v = F.col("n"), F.col("value")
     total = F.sum("n")
-    variance = (F.sum(n * v * v) - F.sum(n * v) * F.sum(n * v) / total) / (total - 1)
-    shape = counts.groupBy("metric").agg(
+    centre = counts.groupBy("metric").agg(F.try_divide(F.sum(n * v), total).alias("mean"))
+    off = F.col("value") - F.col("mean")  # centred first: squares of prices would cancel
+    shape = counts.join(F.broadcast(centre), "metric").groupBy("metric").agg(
         F.min("value").alias("mn"), F.max("value").alias("mx"), total.alias("total"),
-        F.sqrt(variance).alias("sd"))
+        F.sqrt(F.try_divide(F.sum(n * off * off), total - 1)).alias("sd"))
+    shape = shape.where(F.col("sd") > 0)  # a single value has no curve
     shape = shape.withColumn("h", F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2)))
     z = (F.col("x") - F.col("value")) / F.col("h")
     return (
@@ -149,10 +151,19 @@ def density_curve(df: DataFrame, columns: Sequence[str] = DENSITY_COLUMNS, grid:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
-    """Pearson correlation of every pair over the rows that have both: (a, b, r)."""
+    """Pearson correlation of every pair over the rows that have both: (a, b, r); null where a column has no spread."""
     typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     upper = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    one = typed.agg(*[F.corr(columns[i], columns[j]).alias(f"r{i}_{j}") for i, j in upper])
+
+    def spread(i: int, j: int):
+        both = F.col(columns[i]).isNotNull() & F.col(columns[j]).isNotNull()
+        return [F.when(both, F.col(columns[k])) for k in (i, j)]
+
+    def r(i: int, j: int):
+        a, b = spread(i, j)
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)).alias(f"r{i}_{j}")
+
+    one = typed.agg(*[r(i, j) for i, j in upper])
     cells = [
         f"'{a}', '{b}', r{min(i, j)}_{max(i, j)}"
         for i, a in enumerate(columns) for j, b in enumerate(columns)

@@ -197,12 +197,17 @@ def one_hot(df: DataFrame, columns: Sequence[str] = ("city", "region")) -> DataF
 
 def geo_cluster(df: DataFrame, k: int = 10, seed: int = 42,
                 model: KMeansModel | None = None) -> tuple[DataFrame, KMeansModel]:
-    """``geo_cluster`` from k-means on (longitude, latitude); a given model assigns only."""
+    """``geo_cluster`` from k-means on (longitude, latitude); a given model assigns only.
+
+    Listings without coordinates stay, without a cluster.
+    """
+    known = F.col("longitude").isNotNull() & F.col("latitude").isNotNull()
     assembled = VectorAssembler(
-        inputCols=["longitude", "latitude"], outputCol="_coords", handleInvalid="skip").transform(df)
+        inputCols=["longitude", "latitude"], outputCol="_coords").transform(df.where(known))
     if model is None:
         model = KMeans(k=k, seed=seed, featuresCol="_coords", predictionCol="geo_cluster").fit(assembled)
-    return model.transform(assembled).drop("_coords"), model
+    placed = model.transform(assembled).drop("_coords")
+    return placed.unionByName(df.where(~known).withColumn("geo_cluster", F.lit(None).cast("int"))), model
 
 
 # --- augmentation -----------------------------------------------------------

@@ -33,11 +33,12 @@ def compose_address(df: DataFrame) -> DataFrame:
 
 
 def _gazetteer(primary: DataFrame, fallback: DataFrame) -> DataFrame:
-    """One row per address: the primary entry if there is one, else the fallback."""
+    """One row per address: the primary entry if there is one with both coordinates, else the fallback; of several
+    entries in one table the southernmost."""
     entries = primary.select("full_address", "latitude", "longitude", F.lit(1).alias("rank")).unionByName(
         fallback.select("full_address", "latitude", "longitude", F.lit(2).alias("rank")))
     return (
-        entries.where(F.col("full_address").isNotNull())
+        entries.dropna(subset=["full_address", "latitude", "longitude"])
         .groupBy("full_address")
         .agg(F.min(F.struct("rank", "latitude", "longitude")).alias("hit"))
         .select("full_address", F.col("hit.latitude").alias("_lat"), F.col("hit.longitude").alias("_lon"))

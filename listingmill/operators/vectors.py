@@ -102,8 +102,9 @@ def silhouette_exact(vecs: DataFrame, label: str = "label", key: str = "vec_id",
         F.max(F.when(own, F.col("n"))).alias("size"),
         F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
         F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"))
-    # A cluster of one point scores 0.
-    score = F.when(F.col("size") == 1, 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    # A cluster of one point scores 0, and so does a point that equals all others.
+    score = F.when(F.col("size") == 1, 0.0).otherwise(
+        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
     return scores.agg(F.count(F.lit(1)).alias("points"), F.avg(score).alias("silhouette"))
 
 
@@ -124,24 +125,27 @@ def pca_project(vecs: DataFrame, n: int = 2, key: str = "vec_id", vector: str =
     return _centred_pca(vecs, n, vector, "_pca").select(key, *[parts[i].alias(names[i]) for i in range(n)])
 
 
-def pca_reduce(vecs: DataFrame, n: int = 100, width: int = 64, key: str = "vec_id",
-               vector: str = "embedding") -> DataFrame:
+def width_of(vecs: DataFrame, vector: str = "embedding") -> int:
+    """Length of the longest vector, 0 without any."""
+    return vecs.agg(F.coalesce(F.max(F.size(vector)), F.lit(0))).first()[0]
+
+
+def pca_reduce(vecs: DataFrame, n: int = 100, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Key and ``img_pca_0`` ... ; no more components than the vectors are wide."""
-    n = min(n, width)
+    n = min(n, width_of(vecs, vector))
     parts = vector_to_array("_pca")
     return _centred_pca(vecs, n, vector, "_pca").select(
         key, *[parts[i].alias(f"img_pca_{i}") for i in range(n)])
 
 
-def pool_vectors(vecs: DataFrame, keys: DataFrame, key: str = "id", vector: str = "embedding",
-                 width: int = 64) -> DataFrame:
-    """Element-wise mean of the vectors of each key; a key without any gets zeros.
+def pool_vectors(vecs: DataFrame, keys: DataFrame, key: str = "id", vector: str = "embedding") -> DataFrame:
+    """Element-wise mean of the vectors of each key; a key without any gets as many zeros as the vectors are wide.
 
     Vectors are summed where they lie; one partial vector per key and task is
     shuffled.
     """
     means = _features(vecs, vector).groupBy(key).agg(vector_to_array(Summarizer.mean(F.col("_features"))).alias("pooled"))
-    zeros = F.array_repeat(F.lit(0.0), width)
+    zeros = F.array_repeat(F.lit(0.0), width_of(vecs, vector))
     return keys.select(key).join(means, key, "left").select(key, F.coalesce("pooled", zeros).alias("pooled"))
 
 

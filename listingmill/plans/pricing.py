@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from listingmill.operators import evaluation as ev
 from listingmill.operators import features as ft
+from listingmill.operators.vectors import pool_vectors, width_of
+from listingmill.sources.workspace import stage
 
 NUMERIC = (
     "zip_code", "rooms", "area_sqm", "floor", "latitude", "longitude", "has_balcony", "is_rental", "is_new",
@@ -33,6 +35,7 @@ NOISED = ("price", "rooms", "area_sqm", "floor", "latitude", "longitude", "log_a
 BOOSTED_NUMERIC = ("rooms", "area_sqm", "floor", "has_balcony", "longitude", "latitude", "room_size")
 BOOSTED_CATEGORICAL = ("zip_code", "city", "region", "geo_cluster")
 
+# Column lists above and search grids below.
 # Full search grids; the functions below default to small ones.
 FOREST_GRID = {"numTrees": (100, 200), "maxDepth": (10, 20), "minInstancesPerNode": (1, 2)}
 BOOSTED_GRID = {
@@ -46,15 +49,15 @@ SMALL_BOOSTED_GRID = {"maxIter": (10,), "maxDepth": (4,), "stepSize": (0.3,)}
 
 # --- features ---------------------------------------------------------------
 
-def structured_features(df: DataFrame, run_ts: str) -> DataFrame:
-    """The shared feature columns of training and serving."""
-    return ft.size_floor_flags(ft.availability_features(df, run_ts))
+def structured_features(df: DataFrame, run_ts: str, fill: int | None = None) -> DataFrame:
+    """The shared feature columns of training and serving; ``fill`` stands for unknown days."""
+    return ft.size_floor_flags(ft.availability_features(df, run_ts, fill))
 
 
 def training_sides(df: DataFrame, mode: str, run_ts: str, augment: bool = True,
-                   seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                   seed: int = 42, fill: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(train, test) of one mode, with augmented rare rows on the training side."""
-    rows = ft.train_test_split(structured_features(ft.mode_filter(df, mode), run_ts), seed=seed)
+    rows = ft.train_test_split(structured_features(ft.mode_filter(df, mode), run_ts, fill), seed=seed)
     train, test = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
     if augment:
         train = ft.augment_rare(train, NOISED, seed=seed)
@@ -148,9 +151,22 @@ def _listing_stages(train: DataFrame) -> list:
     return [_bin_stage(train), *_assemble((*NUMERIC, "lat_bin", "lon_bin"), CATEGORICAL)]
 
 
-def linear_model(train: DataFrame) -> PipelineModel:
-    """Least squares on all features."""
-    return _fit(train, _listing_stages, LinearRegression(labelCol="price", maxIter=50), None, "price", 0)[0]
+def linear_model(train: DataFrame, max_iter: int = 500) -> PipelineModel:
+    """Least squares on all features, by the same solver however many categories there are.
+
+    Raises if the solver has not converged.
+    """
+    solver = LinearRegression(labelCol="price", solver="l-bfgs", maxIter=max_iter, tol=1e-7, regParam=1e-4)
+    model = _fit(train, _listing_stages, solver, None, "price", 0)[0]
+    if model.stages[-1].summary.totalIterations >= max_iter:
+        raise ArithmeticError(f"least squares has not converged in {max_iter} steps")
+    return model
+
+
+def linear_sides(df: DataFrame, mode: str, run_ts: str, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of the linear model: nothing augmented, gaps in numbers and days are 0."""
+    sides = training_sides(df, mode, run_ts, augment=False, seed=seed, fill=0)
+    return tuple(side.fillna(0, subset=[c for c in NUMERIC if c in side.columns]) for side in sides)
 
 
 def single_feature_line(df: DataFrame, feature: str = "area_sqm", target: str = "price") -> DataFrame:
@@ -200,14 +216,17 @@ def boosted_model(df: DataFrame, mode: str, grid: Mapping[str, Sequence] = SMALL
 
 
 def combined_model(listings: DataFrame, vectors: DataFrame, mode: str, run_ts: str,
-                   grid: Mapping[str, Sequence] = SMALL_FOREST_GRID, components: int = 100, width: int = 64,
+                   grid: Mapping[str, Sequence] = SMALL_FOREST_GRID, components: int = 100,
                    folds: int = 3, seed: int = 42) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Forest over structured features, the text cluster and image components.
 
-    ``listings`` carry ``description_cluster``; ``vectors`` are (id, embedding)
-    and listings without one are left out.  Returns pipeline, report, test rows.
+    ``listings`` carry ``description_cluster``; ``vectors`` are (id, embedding),
+    any number per listing: their mean, or zeros, stands for the listing's
+    images.  Returns pipeline, report, test rows.
     """
-    vectors = vectors.select("id", array_to_vector(F.col("embedding").cast("array<double>")).alias("image"))
+    width = width_of(vectors)
+    pooled = pool_vectors(vectors, listings)
+    vectors = pooled.select("id", array_to_vector(F.col("pooled")).alias("image"))
     train, test = training_sides(listings.join(vectors, "id"), mode, run_ts, seed=seed)
 
     def stages(rows: DataFrame) -> list:
@@ -234,15 +253,19 @@ def predict(model: PipelineModel, rows: DataFrame, log_scale: bool = False) -> D
 def holdout_metrics(model: PipelineModel, test: DataFrame, log_scale: bool = False) -> DataFrame:
     """Metrics on held-out rows next to those of always predicting their mean."""
     preds = predict(model, test, log_scale)
+    preds = stage(preds, "predictions")  # scored once, read twice
     mean = preds.agg(F.avg("actual")).scalar()
-    baseline = ev.regression_metrics(preds.select("actual", mean.alias("predicted")))
-    scored = ev.regression_metrics(preds)
-    return scored.select("rmse", "mae", "r2", baseline.select("mae").scalar().alias("mean_predictor_mae"))
+    both = preds.withColumn("off", F.abs(F.col("actual") - mean))
+    error, actual = F.col("actual") - F.col("predicted"), F.col("actual")
+    return both.agg(
+        F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"),
+        (1 - F.try_divide(F.sum(error * error), F.var_pop(actual) * F.count(actual))).alias("r2"),
+        F.avg("off").alias("mean_predictor_mae"))
 
 
 def feature_names(model: PipelineModel, rows: DataFrame) -> list[str]:
     """Name of every slot of ``features``, from the column's attributes."""
-    meta = model.transform(rows.limit(1)).schema["features"].metadata["ml_attr"]
+    meta = model.transform(rows.limit(0)).schema["features"].metadata["ml_attr"]
     slots = sorted((a["idx"], a.get("name", f"feature_{a['idx']}")) for group in meta["attrs"].values() for a in group)
     named = dict(slots)
     return [named.get(i, f"feature_{i}") for i in range(meta["num_attrs"])]
@@ -266,10 +289,19 @@ def top_coefficients(model: PipelineModel, rows: DataFrame, n: int = 15) -> Data
 
 def score_batch(requests: DataFrame, models: Mapping[str, PipelineModel], run_ts: str,
                 log_scale: bool = False) -> DataFrame:
-    """(id, mode, prediction) of all valid requests, each by the model of its
-    mode, rounded to two places."""
-    valid = ev.validate_requests(requests).where(F.col("ok"))
-    typed = valid.withColumns({
+    """(id, mode, prediction, error) of all requests: valid ones by the model of
+    their mode, rounded to two places; for the others ``error`` says why there
+    is no prediction."""
+    numbers = {"area": "double", "floor": "int", "rooms": "double", "lat": "double", "lon": "double", "zip_code": "int"}
+    checked = ev.validate_requests(requests)
+    unread = F.array_join(F.array_compact(F.array(*[
+        F.when(F.col(c).try_cast(kind).isNull(), F.lit(c)) for c, kind in numbers.items()])), ", ")
+    checked = checked.withColumn("error", F.when(~F.col("ok"), F.concat(F.lit("missing: "), "missing"))
+                                 .when(unread != "", F.concat(F.lit("not a number: "), unread))
+                                 .when(~F.col("mode").isin(list(models)), F.concat(F.lit("no model for mode "), "mode")))
+    refused = checked.where(F.col("error").isNotNull()).select(
+        "id", "mode", F.lit(None).cast("double").alias("prediction"), "error")
+    typed = checked.where(F.col("error").isNull()).drop("error").withColumns({
         "zip_code": F.col("zip_code").try_cast("int"),
         "area_sqm": F.col("area").try_cast("double"),
         "floor": F.col("floor").try_cast("int"),
@@ -292,8 +324,8 @@ def score_batch(requests: DataFrame, models: Mapping[str, PipelineModel], run_ts
     for mode, model in models.items():
         scored = model.transform(rows.where(F.col("mode") == mode))
         price = ft.from_log(F.col("prediction")) if log_scale else F.col("prediction")
-        parts.append(scored.select("id", "mode", F.round(price, 2).alias("prediction")))
-    scored = parts[0]
-    for part in parts[1:]:
+        parts.append(scored.select("id", "mode", F.round(price, 2).alias("prediction"), F.lit(None).cast("string").alias("error")))
+    scored = refused
+    for part in parts:
         scored = scored.unionByName(part)
     return scored

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listingmill.functions import text as tx
 from listingmill.schemas import CLEAN_LISTING, RAW_LISTING
+from listingmill.sources.workspace import stage
 
 
 def read_feeds(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
@@ -22,6 +24,25 @@ def read_feeds(spark: SparkSession, path: str, multiline: bool = True) -> DataFr
     )
 
 
+def number_rows(feeds: DataFrame, key: str = "src_id") -> DataFrame:
+    """The rows with a unique running number 1..n.
+
+    Rows are stored with their place inside their partition; the partitions'
+    sizes - one row for each input split - give what comes before.
+    """
+    spark_bits = 33  # where the place ends and the partition begins
+    stored = stage(feeds.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", spark_bits)
+    sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return (
+        stored.join(F.broadcast(starts), part == F.col("_part"))
+        .withColumn(key, F.col("_start") + F.col("_at").bitwiseAND((1 << spark_bits) - 1) + 1)
+        .drop("_at", "_part", "_start")
+    )
+
+
 def shape_postal(raw: DataFrame, zip_code: str, city: str, region: str, order: Column) -> DataFrame:
     """Postal columns with the types and spellings the look-ups need."""
     return raw.select(

@@ -42,7 +42,15 @@ def _none_if_empty(text: Column) -> Column:
 
 
 def _absolute(href: Column, base: Column) -> Column:
-    return F.when(href.rlike("^[a-zA-Z]+://"), href).otherwise(F.concat(base, href))
+    """``href`` seen from the page ``base``: whole, without scheme, from the site's root, or from the page's folder."""
+    scheme = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
+    site = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_replace(base, "[?#].*$", "")
+    folder = F.when(path == site, F.concat(site, F.lit("/"))).otherwise(F.regexp_replace(path, "[^/]*$", ""))
+    return (F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
+            .when(href.startswith("//"), F.concat(scheme, href))
+            .when(href.startswith("/"), F.concat(site, href))
+            .otherwise(F.concat(folder, href)))
 
 
 def _blocks(html: Column, opening: str) -> Column:

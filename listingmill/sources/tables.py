@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingmill.functions.relational import dense_ids
-from listingmill.functions.text import number
 from listingmill.operators.cleaning import amenity_flags
 from listingmill.schemas import LOADED_COLUMNS, PROPERTY
 
@@ -21,7 +20,7 @@ def load_properties(clean: DataFrame, key: str = "src_id") -> DataFrame:
     layout of the data.
     """
     def positive(column: str):
-        return F.nullif(number(F.col(column).cast("string")), F.lit(0.0))
+        return F.nullif(F.col(column).cast("double"), F.lit(0.0))
 
     rows = amenity_flags(clean.withColumns({"area_sqm": positive("area_sqm"), "rooms": positive("rooms")}))
     numbered = dense_ids(rows, [key], F.floor(F.col(key) / BUCKET_ROWS))
