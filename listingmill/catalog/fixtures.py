@@ -94,8 +94,8 @@ SELECT k AS src_id,
   CASE WHEN k % 19 = 0 THEN NULL WHEN k % 23 = 0 THEN 0e0 ELSE lat + (k % 100 - 50) / 1000e0 END AS latitude,
   CASE WHEN k % 19 = 0 OR k % 29 = 0 THEN NULL ELSE lon + (c % 100 - 50) / 1000e0 END AS longitude
 FROM (SELECT o_orderkey AS k, o_custkey AS c, o_totalprice FROM orders) o
-CROSS JOIN (SELECT count(*) AS places FROM postal_ref) n
-JOIN postal_ref p ON p.ord = o.k % n.places + 1
+CROSS JOIN (SELECT count(*) AS ords FROM postal_ref) n
+JOIN postal_ref p ON p.ord = o.k % n.ords + 1
 LEFT JOIN documents d ON d.doc_id = o.k
 """
 
