@@ -30,7 +30,7 @@ from listingmill.llm.tokens import by_bytes
 from listingmill.sources.workspace import stage
 
 SEED = 42
-TILE = 8192
+TILE = 16384
 SMALL = 64
 KEY_BITS = 32
 CHUNK = 1 << 20
@@ -242,12 +242,17 @@ def _links_by_count(nodes: DataFrame, radius: int) -> DataFrame:
     """All tiles whose population counts allow it, against each other."""
     spark, tile = nodes.sparkSession, TILE
     counts = {r["ones"]: r["n"] for r in nodes.groupBy("ones").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # tiles in order of population count: (count, tiles of this count, first tile); a row per count, whatever the input
-    ladder, first = [], 0
+    # tiles in order of population count: (count, tiles of this count, first tile); a row per count, whatever the input;
+    # small neighbouring counts share a tile
+    ladder, first, held = [], 0, 0
     for ones in sorted(counts):
+        if held and held + counts[ones] > tile:
+            first, held = first + 1, 0
         n = math.ceil(counts[ones] / tile)
         ladder.append((ones, n, first))
-        first += n
+        held += counts[ones]
+        if n > 1:
+            first, held = first + n, 0
     reach = []
     for ones, n, start in ladder:
         last = max(s + m for o, m, s in ladder if o - ones <= radius)
