@@ -133,10 +133,11 @@ def places_in_text(texts: DataFrame, postal: DataFrame, key: str, text: str) ->
     """Longest gazetteer name found anywhere in a text: (key, place).
 
     Instead of testing every name against every text, a text is cut into its
-    overlapping windows, one per position and as long as the longest name;
-    a window meets only the names that share its first letters (an equi join),
-    and a name counts where the window starts with it.  Equal lengths are
-    settled by name.
+    overlapping windows, one per position and as long as the longest name.  A
+    window whose first letters begin some name is cut to the lengths such names
+    have, and these cuts meet the names whole (equi joins both; the first table
+    has one row for each beginning, so a frequent one meets no list of names).
+    Equal lengths are settled by name.
     """
     names = (
         postal.where(F.col("city").isNotNull() & (F.col("city") != ""))
@@ -155,9 +156,14 @@ def places_in_text(texts: DataFrame, postal: DataFrame, key: str, text: str) ->
         .select(key, "window", F.explode("n").alias("n"))
         .withColumn("head", F.col("window").substr(F.lit(1), F.col("n")))
     )
+    heads = names.groupBy("head").agg(F.collect_set(F.length("name")).alias("lengths"))
+    cuts = (
+        probes.join(heads, "head").select(key, "window", F.explode("lengths").alias("size"))
+        .where(F.length("window") >= F.col("size"))
+        .select(key, F.col("window").substr(F.lit(1), F.col("size")).alias("name"))
+    )
     return (
-        probes.join(names, "head")
-        .where(F.col("window").startswith(F.col("name")))
+        cuts.join(names.select("name", "place"), "name")
         .groupBy(key)
         .agg(F.max_by("place", F.struct(F.length("place"), F.col("place"))).alias("place"))
     )
