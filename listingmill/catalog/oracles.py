@@ -309,6 +309,8 @@ ORACLES: dict[str, str] = {
         has_balcony, md5(description) AS description, {_URLS} FROM raw_listings""",
     "read_postal": """SELECT zip_code, city, region, city_clean, coalesce(listings, 0) AS listings FROM postal LEFT JOIN (
         SELECT TRY_CAST(zip_code AS INTEGER) AS zip_code, count(*) AS listings FROM raw_listings GROUP BY 1) USING (zip_code)""",
+    "geo_cluster_rows": """SELECT count(*) AS listings, count(*) FILTER (latitude IS NOT NULL AND longitude IS NOT NULL) AS clustered,
+        0::BIGINT AS misplaced FROM properties""",
     "clean_from_feeds": f"SELECT {_CLEAN_COLUMNS}, md5(description) AS description, {_URLS} FROM clean_listings",
     "write_clean": f"SELECT {_CLEAN_COLUMNS}, md5(description) AS description, {_URLS} FROM clean_listings",
     "scan_properties": f"SELECT id, {_CLEAN_COLUMNS}, {_FLAGS}, md5(description) AS description FROM properties",
@@ -497,6 +499,11 @@ ORACLES: dict[str, str] = {
         coalesce(availability_date, '2025-01-01') AS availability_date
         FROM (SELECT *, concat_ws(', ', {", ".join(
             f"CASE WHEN coalesce({c}, '') = '' THEN '{c}' END" for c in vocab.REQUEST_REQUIRED)}) AS missing FROM requests)""",
+    "score_batch_rows": f"""SELECT mode, count(*) AS requests, count(*) FILTER (good) AS priced, count(*) FILTER (NOT good) AS refused
+        FROM (SELECT mode, {" AND ".join(f"coalesce({c}, '') <> ''" for c in vocab.REQUEST_REQUIRED)} AND mode IN ('rental', 'purchase')
+          AND {" AND ".join(f"TRY_CAST({c} AS {k}) IS NOT NULL" for c, k in (
+              ("area", "DOUBLE"), ("floor", "INTEGER"), ("rooms", "DOUBLE"), ("lat", "DOUBLE"), ("lon", "DOUBLE"),
+              ("zip_code", "INTEGER")))} AS good FROM requests) GROUP BY mode""",
     "linear_single": " UNION ALL ".join(
         f"""SELECT '{mode}' AS mode, round(regr_slope(price, area_sqm), 4) AS slope, round(regr_intercept(price, area_sqm), 3) AS intercept,
         round(regr_r2(price, area_sqm), 6) AS r2 FROM properties WHERE {side}"""

@@ -453,6 +453,17 @@ def geo_cluster(t: Tables) -> DataFrame:
     return ft.geo_cluster(t.properties)[0].select("id", "geo_cluster")
 
 
+@query
+def geo_cluster_rows(t: Tables) -> DataFrame:
+    """Listings, those with a cluster, and clustered ones that are nearer to another cluster's centre."""
+    placed, model = ft.geo_cluster(t.properties)
+    away = [F.pow(F.col("longitude") - float(x), F.lit(2)) + F.pow(F.col("latitude") - float(y), F.lit(2))
+            for x, y in model.clusterCenters()]
+    own = F.get(F.array(*away), F.col("geo_cluster"))
+    return placed.agg(F.count(F.lit(1)).alias("listings"), F.count("geo_cluster").alias("clustered"),
+                      F.count_if(own > F.array_min(F.array(*away)) + 1e-9).alias("misplaced"))
+
+
 # --- text and vectors -------------------------------------------------------
 
 @query
@@ -639,6 +650,14 @@ def top_coefficients(t: Tables) -> DataFrame:
     return _per_mode({m: pricing.top_coefficients(model, t.linear_sides(m)[1]) for m, model in t.linear.items()})
 
 
+@query
+def score_batch_rows(t: Tables) -> DataFrame:
+    """Requests, and how many got a price or a reason for none, by mode."""
+    scored = pricing.score_batch(t.requests, {m: model for m, (model, _) in t.forest.items()}, RUN_TS)
+    return scored.groupBy("mode").agg(
+        F.count(F.lit(1)).alias("requests"), F.count("prediction").alias("priced"), F.count("error").alias("refused"))
+
+
 @query
 def score_batch(t: Tables) -> DataFrame:
     return pricing.score_batch(t.requests, {m: model for m, (model, _) in t.forest.items()}, RUN_TS)

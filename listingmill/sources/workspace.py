@@ -33,6 +33,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def close(spark: SparkSession) -> None:
+    """Delete everything this application has stored; DataFrames that read it end with it."""
+    root = _roots.pop(spark.sparkContext.applicationId, None)
+    if root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
