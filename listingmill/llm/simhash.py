@@ -261,17 +261,31 @@ def _links_by_count(nodes: DataFrame, radius: int) -> DataFrame:
     table = spark.createDataFrame(reach or [(0, 1, 0, 0, 0)], "ones int, n int, start int, low int, high int")
     placed = nodes.join(F.broadcast(table), "ones").withColumn(
         "tile", F.col("start") + F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
-    sent = placed.select("fp", "tile", F.explode(F.sequence("low", "high")).alias("to")).select(
-        "fp", (F.col("tile") > F.col("to")).alias("second"), F.least("tile", "to").alias("a"), F.greatest("tile", "to").alias("b"))
+
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"tile": [key[0]], "size": [len(rows["fp"].iloc[0])], "fps": [b"".join(rows["fp"])],
+                             "low": [rows["low"].min()], "high": [rows["high"].max()]})
+
+    # a tile is one value, so what goes to the pairs are tiles, not rows
+    tiles = placed.select("fp", "tile", "low", "high").groupBy("tile").applyInPandas(
+        pack, "tile int, size int, fps binary, low int, high int")
+    sent = tiles.select("tile", "size", "fps", F.explode(F.sequence("low", "high")).alias("to")).select(
+        "size", "fps", (F.col("tile") > F.col("to")).alias("second"), F.least("tile", "to").alias("a"), F.greatest("tile", "to").alias("b"))
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        if key[0] == key[1]:
-            return _compare(rows, None, radius)
-        return _compare(rows[~rows["second"]], rows[rows["second"]], radius)
+        first, second = rows[~rows["second"]], rows[rows["second"]]
+        if not len(first) or (key[0] != key[1] and not len(second)):
+            return pd.DataFrame({"fp": [], "other": []})
+        return _compare(_unpack(first), _unpack(second) if key[0] != key[1] else None, radius)
 
     return sent.groupBy("a", "b").applyInPandas(compare, "fp binary, other binary")
 
 
+def _unpack(tile: pd.DataFrame) -> pd.DataFrame:
+    raw, size = tile["fps"].iloc[0], int(tile["size"].iloc[0])
+    return pd.DataFrame({"fp": [raw[i:i + size] for i in range(0, len(raw), size)]})
+
+
 # --- components -------------------------------------------------------------------
 
 def components(edges: DataFrame) -> DataFrame:
