@@ -9,15 +9,21 @@ what the counts skip. Where the radius is small against the width, tiles hold on
 tiles returns a spanning forest of its links, at most one row per node, never all pairs.
 Components come from alternating large-star and small-star steps over these rows, written to the shared folder each round.
 
+The pipeline's near stage takes links only as candidates, over distinct shingles and with a wide radius. The nodes of each
+candidate component meet again with their sets of shingle hashes (64 bits), in tiles, and only pairs whose sets have the
+Jaccard similarity link. A component in which many pairs are close and none is similar is quadratic work. The row that stays
+has the smallest ``doc_id`` that is not null, then the smallest text digest; rows are told apart by both.
+
 Defined cases: a null text counts as empty; a text without words has fingerprint zero and links like any other; rows with a
-null ``doc_id`` take part, and a component's identifier is its smallest one that is not null; repeated rows give one row each;
+null ``doc_id`` take part, and a component's identifier is its smallest one that is not null; repeated rows give one row each (the near stage keeps or
+drops rows that repeat id and text together);
 an empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,6 +40,8 @@ TILE = 16384
 SMALL = 64
 KEY_BITS = 32
 CHUNK = 1 << 20
+SET_ROWS = 256
+SET_BYTES = 2 << 20
 
 
 # --- fingerprints -----------------------------------------------------------------
@@ -79,8 +87,13 @@ def _hashes(data: bytes, size: int) -> Iterator[np.ndarray]:
 
 def fingerprint(text: str, size: int, lanes: int) -> bytes:
     """The fingerprint of a text, 8 bytes per lane, most significant first."""
+    return _majority(_hashes(text.encode().lower(), size), lanes)
+
+
+def _majority(hashes: Iterable[np.ndarray], lanes: int) -> bytes:
+    """The bits that are set in more than half of the hashes."""
     ones, total = np.zeros((lanes, 64), dtype=np.int64), 0
-    for h in _hashes(text.encode().lower(), size):
+    for h in hashes:
         total += len(h)
         for lane in range(lanes):
             bits = np.unpackbits(_spread(h, lane).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -329,17 +342,142 @@ def _nodes(prints: DataFrame) -> DataFrame:
     return prints.groupBy("fp").agg(F.min("doc_id").alias("low_id")).withColumn("ones", ones.cast("int"))
 
 
-def radius_for(similarity: float, bits: int, slack: float = 1.0) -> int:
-    """Differing bits that sets of this Jaccard similarity have on average, plus ``slack`` standard deviations."""
-    angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * angle + slack * math.sqrt(bits * angle * (1 - angle)))
+# --- near copies of the pipeline ----------------------------------------------------
+
+def shingle_set(text: str, size: int) -> np.ndarray:
+    """The hashes of a text's distinct shingles, in order."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(text.encode().lower(), size)]))
+
+
+def radius_for(similarity: float, bits: int, slack: float = 5.0) -> int:
+    """Differing bits that sets of this Jaccard similarity have on average, plus ``slack`` standard deviations.
+
+    Ties of even counts set small sets further apart: four of five shingles differ in 3 of 16 bits, the most at 0.8.
+    """
+    odds = max(math.acos(2 * similarity / (1 + similarity)) / math.pi, 3 / 16)
+    return round(bits * odds + slack * math.sqrt(bits * odds * (1 - odds)))
+
+
+def _set_prints(rows: DataFrame, size: int, bits: int) -> DataFrame:
+    """doc_id, text digest, and fingerprint and digest of the set of shingles, together the node."""
+    kind = dict(rows.dtypes)["doc_id"]
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in by_bytes(batches, "text"):
+            sets = [shingle_set(x, size) for x in some.column("text").to_pylist()]
+            fps = [_majority(np.array_split(x, len(x) * 8 // CHUNK + 1), bits // 64) for x in sets]
+            nodes = [fp + xxhash.xxh128_digest(x.tobytes()) for fp, x in zip(fps, sets)]
+            yield pa.RecordBatch.from_arrays(
+                [some.column("doc_id"), some.column("h"), pa.array(fps, pa.binary()), pa.array(nodes, pa.binary())],
+                names=["doc_id", "h", "fp", "node"])
+
+    return rows.select("doc_id", "h", "text").mapInArrow(digest, f"doc_id {kind}, h string, fp binary, node binary")
+
+
+def _sets(rows: DataFrame, size: int) -> DataFrame:
+    """root, node and the hashes of its shingles (8 bytes each), from root, node and text."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in by_bytes(batches, "text"):
+            made = [shingle_set(x, size).tobytes() for x in some.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column("root"), some.column("node"), pa.array(made, pa.binary())],
+                                             names=["root", "node", "hashes"])
+
+    return rows.select("root", "node", "text").mapInArrow(read, "root binary, node binary, hashes binary")
+
+
+def _verify(left: pd.DataFrame, right: pd.DataFrame | None, radius: int, similarity: float, width: int) -> pd.DataFrame:
+    """Edges (fp, other) between nodes, a spanning forest of the links in a tile or between two tiles: pairs within ``radius``
+    whose sets have the similarity. A pair that earlier links already connect is not looked at."""
+    both = left if right is None else pd.concat([left, right], ignore_index=True)
+    nodes = both["node"].to_numpy()
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in both["hashes"]]
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    lanes = _lanes(np.array([x[:width] for x in nodes], dtype=object))
+    root = np.arange(len(nodes))
+    for i in range(len(left)):
+        others = np.arange(i + 1 if right is None else len(left), len(nodes))
+        others = others[root[others] != root[i]]
+        low, high = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
+        others = others[low >= similarity * high - 1e-9]
+        others = others[sum(np.bitwise_count(x[others] ^ x[i]).astype(np.int64) for x in lanes) <= radius]
+        while len(others):  # in slices, as one link may connect many of the others
+            now, others = others[:64], others[64:]
+            for j in now[root[now] != root[i]].tolist():
+                if root[i] == root[j]:
+                    continue
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if shared * (1 + similarity) >= similarity * (size[i] + size[j]) - 1e-9:
+                    root[root == max(root[i], root[j])] = min(root[i], root[j])
+            others = others[root[others] != root[i]]
+    mine = np.nonzero(root != np.arange(len(nodes)))[0]
+    return pd.DataFrame({"fp": nodes[mine], "other": nodes[root[mine]]})
+
+
+def _verified_links(sets: DataFrame, radius: int, similarity: float, width: int) -> DataFrame:
+    """(fp, other): edges that connect exactly the nodes of each ``root`` that chains of verified links connect.
+
+    A root with many nodes or bytes is cut into tiles; each pair of its tiles is a group, and a tile travels as one value.
+    """
+    total = sets.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("hashes")).alias("size"))
+    total = stage(total.select("root", F.greatest(F.ceil(F.col("n") / SET_ROWS), F.ceil(F.col("size") / SET_BYTES), F.lit(1)).cast(
+        "int").alias("tiles")).filter("tiles > 1"), "large-roots")
+    placed = sets.join(total, "root", "left")
+    schema = "fp binary, other binary"
+    whole = placed.filter("tiles is null").select(F.col("root").alias("h"), "node", "hashes")
+    whole = whole.repartition("h").sortWithinPartitions("h")
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches):
+            made = [_verify(x.reset_index(drop=True), None, radius, similarity, width) for _, x in rows.groupby("h", sort=False)]
+            yield pa.RecordBatch.from_pandas(pd.concat(made, ignore_index=True), preserve_index=False, schema=pa.schema(
+                [("fp", pa.binary()), ("other", pa.binary())]))
+
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"root": [key[0]], "tile": [key[1]], "tiles": [rows["tiles"].iloc[0]],
+                             "nodes": [rows["node"].tolist()], "sets": [rows["hashes"].tolist()]})
+
+    cut = placed.filter("tiles is not null").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    tiles = cut.groupBy("root", "tile").applyInPandas(
+        pack, "root binary, tile int, tiles int, nodes array<binary>, sets array<binary>")
+    sent = tiles.select("root", "tile", "nodes", "sets", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("to")).select(
+        "root", "nodes", "sets", (F.col("tile") > F.col("to")).alias("second"), F.least("tile", "to").alias("a"),
+        F.greatest("tile", "to").alias("b"))
+
+    def pair(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        first, second = rows[~rows["second"]], rows[rows["second"]]
+        if not len(first) or (key[1] != key[2] and not len(second)):
+            return pd.DataFrame({"fp": [], "other": []})
+        left, right = (pd.DataFrame({"node": list(x["nodes"].iloc[0]), "hashes": list(x["sets"].iloc[0])}) if len(x) else None
+                       for x in (first, second))
+        return _verify(left, right, radius, similarity, width)
+
+    return whole.mapInArrow(alone, schema).unionByName(sent.groupBy("root", "a", "b").applyInPandas(pair, schema))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, bits: int = 512) -> DataFrame:
     """One document of each group of near-duplicates, all columns unchanged: the smallest ``doc_id`` stays.
 
-    The similarity of two texts is judged by wide fingerprints, whose distance follows it closely.
+    Candidates are texts whose wide fingerprints over distinct shingles are within a radius that loses no pair of this
+    similarity in practice; chains of them are cut into groups, and only pairs whose sets of shingles have the Jaccard
+    similarity link. Texts with equal sets are one node.
     """
-    found = near_duplicates(docs, size, bits, radius_for(similarity, bits)).filter(
-        "doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(found, docs["doc_id"] == F.col("__gone"), "left_anti")
+    radius = radius_for(similarity, bits)
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    rows = docs.select(docs["doc_id"], text.alias("text"), F.md5(text).alias("h"))
+    prints = stage(_set_prints(rows, size, bits), "set-prints")
+    near = components(links(stage(_nodes(prints), "nodes"), radius, bits)).withColumnRenamed("node", "of")
+    nodes = prints.groupBy("fp", "node").agg(F.min(F.struct("doc_id", "h")).alias("one"))
+    nodes = nodes.join(near, F.col("fp") == F.col("of"), "left").select("node", "one", F.coalesce("root", "fp").alias("root"))
+    nodes = stage(nodes, "set-nodes")
+    met = stage(nodes.groupBy("root").count().filter("count > 1").select("root"), "met-roots")
+    some = stage(nodes.join(met, "root", "left_semi").select(
+        "root", "node", F.col("one.doc_id").alias("one_id"), F.col("one.h").alias("one_h")), "met-nodes")
+    read = rows.join(some, (F.col("h") == F.col("one_h")) & F.col("doc_id").eqNullSafe(F.col("one_id")))
+    sets = stage(_sets(read, size).dropDuplicates(["node"]), "sets")
+    found = components(_verified_links(sets, radius, similarity, bits // 8)).withColumnRenamed("node", "of")
+    rooted = stage(prints.join(found, F.col("node") == F.col("of"), "left").select(
+        F.coalesce("root", "node").alias("root"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h").alias("row")), "rooted")
+    best = rooted.groupBy("root").agg(F.min("row").alias("kept"), F.max("row").alias("last")).filter("kept != last")
+    gone = rooted.join(stage(best.select("root", "kept"), "kept"), "root").filter("row != kept").select(
+        F.col("row.doc_id").alias("__id"), F.col("row.h").alias("__h")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.md5(text) == F.col("__h")), "left_anti")
