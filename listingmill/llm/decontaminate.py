@@ -58,13 +58,17 @@ def _signatures(items: DataFrame, width: int, threshold: float) -> DataFrame:
     return found.filter("hash is not null")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs doc_id, item_id with shared, item_shingles (long) and containment of the item in the document."""
+def _doc_key(docs: DataFrame) -> Column:
+    """What tells documents apart: rows that repeat an id, or have none, can have different texts."""
+    return F.struct(docs["doc_id"], F.md5(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("h"))
+
+
+def _pairs(docs: DataFrame, benchmark: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Pairs doc_key, item_key with shared, item_shingles and containment, where the item is contained."""
     items = stage(benchmark.select(benchmark["item_id"], _words(benchmark["text"]).alias("words")).withColumn(
         "item_key", F.struct("item_id", F.md5(F.array_join("words", " ")).alias("h"))).dropDuplicates(["item_key"]), "items")
     signatures = stage(_signatures(items, width, threshold), "signatures")
-    rows = docs.select(docs["doc_id"], docs["text"]).withColumn(
-        "doc_key", F.struct("doc_id", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h")))
+    rows = docs.select(_doc_key(docs).alias("doc_key"), docs["text"])
     worded = rows.select("doc_key", _words(F.col("text")).alias("words"))
     # outer, as the planner would otherwise test each list for being empty before it is built, and so build it twice
     probes = _with_hashes(worded, width).select("doc_key", F.explode_outer("hashes").alias("hash"))
@@ -76,18 +80,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, thre
     ours = _with_shingles(items, "item_set", width).select("item_key", "item_set")
     worded = _with_shingles(texts.select("doc_key", _words(F.col("text")).alias("words")), "doc_set", width)
     theirs = candidates.join(worded.select("doc_key", "doc_set"), "doc_key")
-    both = theirs.join(ours, "item_key").select(
-        F.col("doc_key.doc_id").alias("doc_id"), F.col("item_key.item_id").alias("item_id"), "doc_set", "item_set")
+    both = theirs.join(ours, "item_key").select("doc_key", "item_key", "doc_set", "item_set")
     pairs = both.select(
-        "doc_id", "item_id", F.size(F.array_intersect("item_set", "doc_set")).cast("long").alias("shared"),
+        "doc_key", "item_key", F.size(F.array_intersect("item_set", "doc_set")).cast("long").alias("shared"),
         F.size("item_set").cast("long").alias("item_shingles"))
-    found = pairs.filter(F.col("shared") >= F.lit(threshold) * F.col("item_shingles")).withColumn(
+    return pairs.filter(F.col("shared") >= F.lit(threshold) * F.col("item_shingles")).withColumn(
         "containment", F.col("shared") / F.col("item_shingles"))
-    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "shared", "item_shingles")).alias("b"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs doc_id, item_id with shared, item_shingles (long) and containment of the item in the document."""
+    found = _pairs(docs, benchmark, width, threshold)
+    best = found.groupBy(F.col("doc_key.doc_id").alias("doc_id"), F.col("item_key.item_id").alias("item_id")).agg(
+        F.max(F.struct("containment", "shared", "item_shingles")).alias("b"))
     return best.select("doc_id", "item_id", "b.shared", "b.item_shingles", "b.containment")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """The documents in which no benchmark item is contained, all columns unchanged."""
-    found = contaminated(docs, benchmark, width, threshold).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    found = _pairs(docs, benchmark, width, threshold).select(
+        F.col("doc_key.doc_id").alias("__id"), F.col("doc_key.h").alias("__h")).distinct()
+    key = _doc_key(docs)
+    return docs.join(found, key["doc_id"].eqNullSafe(F.col("__id")) & (key["h"] == F.col("__h")), "left_anti")
