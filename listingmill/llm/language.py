@@ -32,7 +32,7 @@ MAX_LANGUAGES = 64
 BLOCK = 1024
 BATCH_BYTES = 2 << 20
 UNKNOWN = "und"
-ALPHABET = 63
+ALPHABET = 63  # letters of a language that are looked up in its dense table; the others are searched
 
 
 @lru_cache(maxsize=1)
@@ -80,37 +80,60 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return moves
 
 
-def _table(moves: list[dict[int, int]], width: int) -> np.ndarray:
-    """Next state for state * width + symbol, times two, plus one if a new phrase begins with the symbol.
-
-    State 0 is between phrases; a symbol that no sample has is a phrase of its own."""
-    first = np.array([moves[0].get(c, 0) for c in range(width)], dtype=np.int32)
-    out = np.tile(first * 2 + 1, len(moves))
-    rows = np.fromiter(((s + 1) * width + c for s, m in enumerate(moves[1:]) for c in m), dtype=np.int64)
-    out[rows] = np.fromiter((2 * t for m in moves[1:] for t in m.values()), dtype=np.int32)
-    return out
+class Table:
+    """Next state for state and symbol, times two, plus one if a new phrase begins with the symbol.
+
+    State 0 is between phrases; symbol 0, which the sample has not, is a phrase of its own. Symbols below ``width`` are looked
+    up in a dense table, all others among the sorted transitions."""
+
+    def __init__(self, moves: list[dict[int, int]], letters: int):
+        self.width, self.letters = min(letters, ALPHABET) + 1, letters + 1
+        self.first = np.array([2 * moves[0].get(c, 0) + 1 for c in range(self.letters)], dtype=np.int32)
+        self.dense = np.tile(self.first[:self.width], len(moves))
+        keys = np.fromiter((s * self.letters + c for s, m in enumerate(moves) if s for c in m if c > 0), dtype=np.int64)
+        to = np.fromiter((2 * t for s, m in enumerate(moves) if s for c, t in m.items() if c > 0), dtype=np.int32)
+        state, c = keys // self.letters, keys % self.letters
+        often = c < self.width
+        self.dense[state[often] * self.width + c[often]] = to[often]
+        order = np.argsort(keys[~often])
+        self.keys, self.to = keys[~often][order], to[~often][order]
+
+    def moves(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        rare = np.nonzero(symbol >= self.width)[0] if self.letters > self.width else ()
+        if not len(rare):
+            return self.dense[state * self.width + symbol]
+        out = self.dense[state * self.width + np.where(symbol < self.width, symbol, 0)]
+        out[rare] = self.first[symbol[rare]]
+        key = state[rare].astype(np.int64) * self.letters + symbol[rare]
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        hit = self.keys[at] == key if len(self.keys) else np.zeros(len(at), dtype=bool)
+        out[rare[hit]] = self.to[at[hit]]
+        return out
 
 
 class Parser:
-    """The automata of all languages, as dense tables. Symbol 0 is a letter that no sample has."""
+    """The automata of all languages, as tables. Every letter of a sample has a symbol; 0 is a letter that no sample has."""
 
     def __init__(self, samples: tuple[tuple[str, tuple[str, ...]], ...]):
         fold, _ = _folded()
         self.languages = [lang for lang, _ in samples]
         texts = [[fold[_points(x)] for x in some] for _, some in samples]
-        every = np.concatenate([x for some in texts for x in some] or [np.zeros(0, np.uint32)])
-        values, counts = np.unique(every, return_counts=True)
-        known = values[np.argsort(-counts, kind="stable")][:ALPHABET]
-        symbol = np.zeros(0x110000, dtype=np.uint8)
+        known = np.unique(np.concatenate([x for some in texts for x in some] or [np.zeros(0, np.uint32)]))
+        symbol = np.zeros(0x110000, dtype=np.int32)
         symbol[known] = np.arange(1, len(known) + 1)
-        self.symbol, self.width = symbol[fold], len(known) + 1
-        self.tables = []
+        self.symbol = symbol[fold]
+        self.tables, self.local = [], []
         for some in texts:
+            # the language's own numbers, the most frequent letters first
+            values, counts = np.unique(np.concatenate([symbol[x] for x in some] or [np.zeros(0, np.int32)]), return_counts=True)
+            local = np.zeros(len(known) + 1, dtype=np.int32)
+            local[values[np.argsort(-counts, kind="stable")]] = np.arange(1, len(values) + 1)
             line: list[int] = []
             for x in some:
-                line += symbol[x].tolist() + [self.width]  # no phrase crosses two excerpts
-            self.tables.append(_table([{c: t for c, t in m.items() if 0 < c < self.width} for m in suffix_automaton(line)],
-                                      self.width))
+                line += local[symbol[x]].tolist() + [-1]  # no phrase crosses two excerpts
+            self.tables.append(Table(suffix_automaton(line), len(values)))
+            self.local.append(local)
 
     def phrases(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Phrases of each language in each text; texts lie one after another and begin at ``starts``."""
@@ -125,9 +148,10 @@ class Parser:
         active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")
         out = np.zeros((len(self.tables), len(starts)), dtype=np.int64)
         for k, table in enumerate(self.tables):
+            mine = self.local[k][symbols]
             state, count = np.zeros(len(begin), dtype=np.int32), np.zeros(len(begin), dtype=np.int64)
             for step, n in enumerate(active):
-                move = table[state[:n] * self.width + symbols[begin[:n] + step]]
+                move = table.moves(state[:n], mine[begin[:n] + step])
                 count[:n] += move & 1
                 state[:n] = move >> 1
             np.add.at(out[k], owner, count)
