@@ -2,8 +2,8 @@
 
 Every line gets a 128-bit id. Doubling joins the name of the ``h`` lines from a position on with the name of the ``h``
 lines after them, so after log2 steps a name stands for ``min_lines`` lines; inside one document this needs no shuffle.
-Sorting positions by name puts suffixes whose common prefix is at least ``min_lines`` lines next to each other: each such
-interval with more than one position is a repeated run, its first position (smallest ``doc_id``, then line) stays and the
+Positions are grouped by name, not sorted, and no common prefix lengths are computed: each name with more than one
+position is a repeated run, its first position (smallest ``doc_id``, then line) stays and the
 lines under every other position go. Overlapping runs unite to maximal ones. Names are counted with partial aggregation, and
 only names that occur twice are joined back, so a run that a third of all documents share is one row on its side.
 Only built-in functions are used.
