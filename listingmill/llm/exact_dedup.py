@@ -1,9 +1,9 @@
 """Exact duplicates by content sort.
 
 Texts are range-partitioned with sampled splitters on (head of the text, salt), sorted externally, and neighbours are
-compared in full: equal texts are adjacent, and each run keeps one identifier. The salt is a hash of the identifier, so the splitters
-may cut through a group of copies of any size; what the salts of one text have found is merged by SHA-256, a few rows per
-text. Only built-in functions are used.
+compared in full: equal texts of one salt are adjacent, and each run keeps one identifier. The salt is a hash of the identifier,
+so the splitters may cut through a group of copies of any size. Two copies share their salt once in ``SALTS`` times; nearly all
+are found where the runs of all salts are merged by SHA-256, at most ``SALTS`` rows per text. Only built-in functions are used.
 
 Defined cases: a null text counts as empty; a null ``doc_id`` loses against any other; of rows that repeat the same
 ``doc_id`` and text exactly one is kept; an empty table gives an empty result; columns other than ``doc_id`` and ``text``
