@@ -1,14 +1,14 @@
-"""Repeated byte strings with a run-length index.
+"""Repeated byte strings with a suffix array per bucket.
 
 A byte goes if a ``length``-byte string over it also starts in a document with a smaller ``doc_id``. Every window of
 ``length`` bytes has an anchor, its smallest seed hash, so equal windows have equal anchors. Windows with an anchor that
 occurs once anywhere cannot match; the others travel, as the short stretches of text under one anchor, to the bucket of
 the anchor, each distinct stretch of a batch once, with the smallest and largest ``doc_id`` it has there.
 
-A bucket builds a run-length index over its distinct stretches: the Burrows-Wheeler transform as runs, with the suffix
-array sampled at the run ends. The stretches are then streamed through it from right to left: each step maps the row of a
-suffix to the row of the suffix one byte longer, by the runs alone; the matching statistic, cut off at ``length``, says
-which block of rows shares the next ``length`` bytes, and the smallest document of the block answers the window. Where all
+A bucket builds the suffix array over its distinct stretches, in memory, and the runs of its Burrows-Wheeler transform with
+samples at the run ends. The stretches are walked from right to left over the runs, which gives each suffix its row; the rows
+that share the next ``length`` bytes are a block, read off the whole suffix array, and the smallest document of the block
+answers the window. No matching statistics are computed and the index is not held compressed. Where all
 stretches under an anchor are equal - the inside of copies, most of a repetitive corpus - the whole block is known without
 an index. What the bucket sends back are runs of windows with the smallest document that has them.
 
