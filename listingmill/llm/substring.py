@@ -1,9 +1,9 @@
-"""Repeated passages of words by seed and extend.
+"""Repeated passages of words by seeds and counted windows.
 
 Seeds are shingles of ``SEED_WORDS`` words; winnowing picks the smallest seed hash of every window as its anchor, so equal
-windows have equal anchors. Documents meet on anchors: those that occur once anywhere are no candidates. Around every anchor
-that is left, the match is extended both ways, window by window, as far as the window's 96-bit digest - which covers all its
-words - occurs again. Overlapping windows unite to maximal repeats; a repeat has at least ``window`` words.
+windows have equal anchors. Documents meet on anchors: those that occur once anywhere are no candidates. Every window
+under an anchor that is left is counted over all documents by a 96-bit digest of its words, so a frequent anchor never becomes
+pairs of places; no match is extended and the words are not compared. Overlapping windows unite to maximal repeats; a repeat has at least ``window`` words.
 
 Defined cases: a null text has no words; texts shorter than a window keep everything; a null ``doc_id`` is kept as null; rows
 that repeat are separate places, so each is a repeat of the other; an empty table gives an empty result; columns other than
