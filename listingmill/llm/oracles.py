@@ -45,3 +45,42 @@ SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS contain
 FROM met JOIN sizes USING (item_id) WHERE shared >= 0.8 * item_shingles"""
 
 ORACLES["op8_decontamination"] = CONTAMINATED
+
+ORACLES["op12_filter_audit"] = """
+WITH measured AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[ \\t-\\r]+'), lambda w: w <> '') AS words FROM documents),
+failing AS (
+  SELECT m.doc_id, part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+    100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(m.doc_id > min(m.doc_id) OVER (PARTITION BY t), false) AS e,
+    coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad
+  FROM measured m LEFT JOIN (
+    SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l ON m.doc_id = l.doc_id),
+cells AS (
+  SELECT part, {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS f, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (bad) AS x
+  FROM failing GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT p.l || q.l || r.l || s.l || u.l AS filter_order
+  FROM letters p JOIN letters q ON q.l <> p.l JOIN letters r ON r.l NOT IN (p.l, q.l)
+  JOIN letters s ON s.l NOT IN (p.l, q.l, r.l) JOIN letters u ON u.l NOT IN (p.l, q.l, r.l, s.l)),
+steps AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+fails AS (
+  SELECT part, l, f, n, g, x, CASE l WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C WHEN 'D' THEN f.D ELSE f.E END AS hit,
+    (CASE WHEN f.A THEN 'A' ELSE '' END) || (CASE WHEN f.B THEN 'B' ELSE '' END) || (CASE WHEN f.C THEN 'C' ELSE '' END)
+    || (CASE WHEN f.D THEN 'D' ELSE '' END) || (CASE WHEN f.E THEN 'E' ELSE '' END) AS hits
+  FROM cells JOIN letters ON true),
+applied AS (
+  SELECT part, filter_order, step, l, n, g, x, hit, hits,
+    hits <> '' AND regexp_matches(substr(filter_order, 1, step - 1), '[' || hits || '_]') AS gone
+  FROM fails JOIN steps ON l = substr(filter_order, step, 1)),
+counted AS (
+  SELECT part, filter_order, step, any_value(l) AS l, coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND hit), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (gone AND hit), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (hits = l), 0)::BIGINT AS unique_fails, coalesce(sum(g) FILTER (NOT gone AND hit), 0)::BIGINT AS good_lost,
+    coalesce(sum(x) FILTER (NOT gone AND hit), 0)::BIGINT AS toxic_lost
+  FROM applied GROUP BY part, filter_order, step)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  sum(removed) OVER (PARTITION BY part, l)::BIGINT AS shapley
+FROM counted"""

@@ -8,9 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingmill.llm import chat, decontaminate, exact_dedup, language, line_dedup, packing, simhash, substring, suffix, tokens
+from listingmill.llm import (
+    binary_ids, chat, conversation_repair, decontaminate, exact_dedup, filter_audit, language, line_dedup, packing, simhash, substring,
+    suffix, tokens)
+from listingmill.sources.workspace import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -77,3 +81,21 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "binary-ids")
+    binary_ids.write_ids(table(spark, sf_dir, "documents"), WORD_VOCABULARY, folder)
+    read = binary_ids.read_ids(spark, folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
