@@ -34,6 +34,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -44,12 +45,16 @@ from listingmill.sources.workspace import stage
 END_ID = 1
 BLOCK_IDS = 256 << 10
 FILE_IDS = 8 << 20
-CACHED_WORDS = 200_000
+COUNTED_ROWS = 200
+CACHED_WORDS = 1_000_000
+WORDS_AT_ONCE = 500
 HEADER = struct.Struct("<4sIQQI")  # mark, documents, ids, bytes of data, checksum
 MARK = b"IDB1"
 SEPARATOR = b"\n"
 #: Fixed value: a vocabulary that cuts texts by this pattern drops white space, so words can be encoded one by one.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of these characters alone are the same in every normal form and as long in lower case.
+_UNCHANGED = "^[!-~À-ÖØ-öø-įĴ-ňŊ-ſ]+$"
 
 #: Lengths of the four values of each control byte, and the bits that a value of each length has.
 LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.uint8)
@@ -122,73 +127,129 @@ def ids_before(raw: bytes) -> int:
 # --- ids of texts ---------------------------------------------------------------
 
 class Words:
-    """Ids of many texts at once: every distinct word goes to the library once, if the vocabulary drops white space."""
+    """Ids of many texts at once: every distinct word goes to the library once, if the vocabulary drops white space.
+
+    Words whose characters no normal form changes are sent in long texts, many at a time. Their ids are told apart by the
+    tokens that end a word, as many for each as the vocabulary's pattern finds parts in it. All other words are sent one by
+    one. The ids of up to ``CACHED_WORDS`` words are remembered.
+    """
 
     def __init__(self, path: str):
-        self.library, self.known = encoder(path), {}
-        self.by_word = False
-        if path.endswith(".json"):
-            with open(path, encoding="utf-8") as f:
-                held = json.load(f)
-            cut, normal = held.get("pre_tokenizer") or {}, held.get("normalizer") or {}
-            first = (cut.get("pretokenizers") or [cut])[0]
-            steps = [x["type"] for x in normal.get("normalizers") or [normal] if x]
-            self.by_word = (
-                first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"]
-                and first["pattern"].get("Regex") == _WORD_PATTERN and set(steps) <= {"NFC", "Replace", "Lowercase"}
-                and not held.get("post_processor") and held["model"].get("dropout") is None
-                and not any(any(c.isspace() for c in t["content"]) for t in held["added_tokens"]))
+        self.library, self.by_word, self.special, self.ends = encoder(path), False, [], np.zeros(0, bool)
+        self._forget()
+        if not path.endswith(".json"):
+            return
+        with open(path, encoding="utf-8") as f:
+            held = json.load(f)
+        cut, normal, model = held.get("pre_tokenizer") or {}, held.get("normalizer") or {}, held["model"]
+        first = (cut.get("pretokenizers") or [cut])[0]
+        steps = [x["type"] for x in normal.get("normalizers") or [normal] if x]
+        self.special = [t["content"] for t in held["added_tokens"]]
+        self.by_word = (
+            first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"]
+            and first["pattern"].get("Regex") == _WORD_PATTERN and set(steps) <= {"NFC", "Replace", "Lowercase"}
+            and "Lowercase" in steps and model.get("end_of_word_suffix") and model.get("dropout") is None
+            and not held.get("post_processor") and all(t.isascii() and not any(map(str.isspace, t)) for t in self.special))
+        if self.by_word:
+            self.ends = np.zeros(1 + max([*model["vocab"].values(), *(t["id"] for t in held["added_tokens"])]), bool)
+            self.ends[[n for t, n in model["vocab"].items() if t.endswith(model["end_of_word_suffix"])]] = True
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        if not len(texts):
-            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
-        if not self.by_word:
+        if not self.by_word or not len(texts):
             each = [np.asarray(x, "<u4") for x in self.library.encode(texts.to_pylist())]
-            return np.concatenate(each), np.array([len(x) for x in each])
-        lists = pc.ascii_split_whitespace(texts)
-        words = pc.dictionary_encode(lists.flatten())
+            return np.concatenate([np.zeros(0, "<u4"), *each]), np.array([len(x) for x in each], np.int64)
+        lower = pc.ascii_lower(texts)
+        lists = pc.ascii_split_whitespace(texts if self._has_special(lower).true_count else lower)  # no special string may arise
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        each = self._each(words.dictionary.to_pylist())
-        sizes = np.array([len(x) for x in each], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
-        table = np.concatenate(each) if each else np.zeros(0, "<u4")
+        words = lists.flatten().dictionary_encode()
+        sizes, starts, table = self._each(words.dictionary)
         place = words.indices.to_numpy(zero_copy_only=False)
         lengths = sizes[place]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        held = table[np.repeat(starts[place] - ends[:-1], lengths) + np.arange(ends[-1])]
-        return held, np.diff(ends[bounds])
-
-    def _each(self, words: list[str]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
+        at = np.repeat((starts[place] - ends[:-1]).astype(np.int32), lengths)
+        at += np.arange(ends[-1], dtype=np.int32)
+        return table.take(at), np.diff(ends[bounds])
+
+    def _has_special(self, lower: pa.Array) -> pa.Array:
+        found = pa.array(np.zeros(len(lower), bool))
+        for t in self.special:
+            found = pc.or_(found, pc.match_substring(lower, t.lower()))
+        return found
+
+    def _forget(self) -> None:
+        self.known, self.sizes, self.table = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _each(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of ids and place of the first of each word, in the table that is returned, too."""
+        place = pc.index_in(words, self.known)
+        missing = np.nonzero(place.is_null().to_numpy(zero_copy_only=False))[0]
+        order, sizes, table = self._encode(words.take(pa.array(missing)))
+        missing = missing[order]
+        new = words.take(pa.array(missing))
+        found = place.fill_null(0).to_numpy().astype(np.int64)
+        found[missing] = len(self.known) + np.arange(len(new))
+        all_sizes, all_table = np.concatenate([self.sizes, sizes]), np.concatenate([self.table, table])
+        out = all_sizes[found], (np.cumsum(all_sizes) - all_sizes)[found], all_table
         if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {}, words
-        found = dict(zip(new, (np.asarray(x, "<u4") for x in self.library.encode(new)))) if new else {}
-        out = [self.known[w] if w in self.known else found[w] for w in words]
-        if len(found) <= CACHED_WORDS:
-            self.known |= found
+            self._forget()
+            if len(new) > CACHED_WORDS:
+                return out
+            all_sizes, all_table = sizes, table
+        self.known, self.sizes, self.table = pa.concat_arrays([self.known, new]), all_sizes, all_table
         return out
 
+    def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the words; in that order, the number of ids of each and all ids."""
+        lower = pc.ascii_lower(words)
+        parts = pc.count_substring_regex(lower, _WORD_PATTERN).to_numpy(zero_copy_only=False)
+        plain = pc.and_not(pc.match_substring_regex(words, _UNCHANGED), self._has_special(lower)).to_numpy(zero_copy_only=False)
+        some, rest, held = np.nonzero(plain)[0], [np.nonzero(~plain)[0]], words.to_pylist()
+        groups = [some[i:i + WORDS_AT_ONCE] for i in range(0, len(some), WORDS_AT_ONCE)]
+        order, sizes, table = [], [], [np.zeros(0, "<u4")]
+        for group, ids in zip(groups, self.library.encode([" ".join(held[i] for i in g) for g in groups])):
+            ids = np.array(ids, "<u4")
+            ends = np.concatenate([[0], np.nonzero(self.ends[ids])[0] + 1])
+            stops = np.cumsum(parts[group])
+            if len(ends) != stops[-1] + 1:
+                rest.append(group)
+                continue
+            order.append(group)
+            sizes.append(np.diff(ends[stops], prepend=0))
+            table.append(ids)
+        alone = np.concatenate(rest)
+        each = [np.array(x, "<u4") for x in self.library.encode([held[i] for i in alone])]
+        return (np.concatenate([*order, alone]), np.concatenate([*sizes, np.array([len(x) for x in each], np.int64)]).astype(np.int64),
+                np.concatenate([*table, *each]))
+
 
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> Words:
     return Words(path)
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """Ids on their way between tasks: their bytes apart, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(ids.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
 def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids): all ids of each text and the end id, little-endian unsigned 32-bit."""
+    """(doc_id, ids): all ids of each text and the end id, ``packed``."""
     if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
         raise TypeError("doc_id must be a whole number")
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in by_bytes(batches, "text"):
             ids, counts = word_encoder(path).ids(some.column("text"))
-            raw, ends = ids.tobytes(), 4 * np.concatenate([[0], np.cumsum(counts)])
-            yield pa.RecordBatch.from_arrays(
-                [some.column("doc_id"), pa.array([raw[a:b] + end for a, b in zip(ends[:-1], ends[1:])], pa.binary())],
-                names=["doc_id", "ids"])
+            each = [packed(np.concatenate([x, end])) for x in np.split(ids, np.cumsum(counts)[:-1])] if len(counts) else []
+            yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(each, pa.binary())], names=["doc_id", "ids"])
 
     return rows.mapInArrow(run, "doc_id long, ids binary")
 
@@ -198,8 +259,9 @@ def frequencies(made: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(0, np.int64)
         for some in batches:
-            for raw in some.column("ids"):
-                seen = np.bincount(np.frombuffer(raw.as_buffer(), "<u4"))
+            for few in range(0, some.num_rows, COUNTED_ROWS):  # an array as long as the vocabulary is not for a single row
+                rows = some.column("ids")[few:few + COUNTED_ROWS]
+                seen = np.bincount(np.concatenate([unpacked(x.as_buffer()) for x in rows]))
                 if len(seen) > len(held):
                     seen, held = held, seen
                 held[:len(seen)] += seen
@@ -235,7 +297,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = END_ID) ->
 
         for some in batches:
             for doc, raw in zip(some.column("doc_id").to_pylist(), some.column("ids")):
-                ranks = shared.value[np.frombuffer(raw.as_buffer(), "<u4")]
+                ranks = shared.value[unpacked(raw.as_buffer())]
                 if held and size + len(ranks) > BLOCK_IDS:
                     yield row()
                     names, held, size = [], [], 0
