@@ -219,6 +219,20 @@ SELECT * FROM clean_listings UNION ALL BY NAME
 SELECT * REPLACE (src_id + 1000000000 AS src_id, CASE WHEN src_id % 2 = 0 THEN upper(title) ELSE title END AS title,
   CASE WHEN src_id % 2 = 0 THEN replace(description, ',', ' ; ') ELSE description END AS description) FROM clean_listings"""
 
+CTES["word_sets"] = """
+SELECT src_id, list_sort(list_distinct(regexp_extract_all(lower(coalesce(description, '')), '[\\p{L}\\p{N}_]{2,}'))) AS words FROM copies"""
+
+#: All pairs of different word sets, and what can be reached from each.
+CTES["alike"] = """
+SELECT src_id, class_id FROM word_sets JOIN (
+  WITH RECURSIVE sets AS MATERIALIZED (SELECT words, min(src_id) AS rep FROM word_sets GROUP BY words),
+  pairs AS MATERIALIZED (
+    SELECT a.rep AS a, b.rep AS b, len(list_intersect(a.words, b.words)) AS shared, len(a.words) + len(b.words) AS words_in_all
+    FROM sets a JOIN sets b ON a.rep <> b.rep AND len(a.words) > 0 AND len(b.words) > 0),
+  links AS MATERIALIZED (SELECT a, b FROM pairs WHERE shared / (words_in_all - shared) >= 0.8),
+  reach AS (SELECT rep, rep AS other FROM sets UNION SELECT reach.rep, links.b FROM reach JOIN links ON links.a = reach.other)
+  SELECT words, min(other) AS class_id FROM reach JOIN sets USING (rep) GROUP BY words) c USING (words)"""
+
 # --- pages ------------------------------------------------------------------
 
 _TAGS = "regexp_replace({}, '<[^>]*>', '', 'g')"
@@ -363,6 +377,8 @@ ORACLES: dict[str, str] = {
         GROUP BY title, address, zip_code, city, price, rooms, area_sqm, floor, description""",
     "dedup_near": """SELECT min(src_id) AS src_id FROM copies GROUP BY lower(address), rooms, area_sqm, floor, price,
         list_sort(list_distinct(regexp_extract_all(lower(concat_ws(' ', title, description)), '[\\p{L}\\p{N}_]{2,}')))""",
+    "similar_classes": "SELECT src_id, class_id FROM alike",
+    "dedup_similar": "SELECT src_id FROM alike WHERE src_id = class_id",
     "quality_report": """
         SELECT 'zip_code between 1000 and 9999' AS rule, count(*) FILTER (zip_code NOT BETWEEN 1000 AND 9999) AS violations FROM clean_listings
         UNION ALL SELECT 'price above 0', count(*) FILTER (price <= 0) FROM clean_listings

@@ -14,6 +14,7 @@ from listingmill.operators import evaluation as ev
 from listingmill.operators import explorer as ex
 from listingmill.operators import features as ft
 from listingmill.operators import location as loc
+from listingmill.operators import similarity as sim
 from listingmill.operators import text as txt
 from listingmill.operators import vectors as vec
 from listingmill.plans import clean as clean_plan
@@ -300,6 +301,17 @@ def dedup_near(t: Tables) -> DataFrame:
     return cl.dedup_listings(df, dropped=stage(cl.duplicates(df, near=True), "duplicates")).select("src_id")
 
 
+@query
+def similar_classes(t: Tables) -> DataFrame:
+    return sim.similar_classes(_with_copies(t))
+
+
+@query
+def dedup_similar(t: Tables) -> DataFrame:
+    df = _with_copies(t)
+    return sim.dedup_similar(df, classes=stage(sim.similar_classes(df), "similar")).select("src_id")
+
+
 @query
 def quality_report(t: Tables) -> DataFrame:
     return cl.quality_report(t.clean)
