@@ -520,6 +520,12 @@ ORACLES: dict[str, str] = {
           AND {" AND ".join(f"TRY_CAST({c} AS {k}) IS NOT NULL" for c, k in (
               ("area", "DOUBLE"), ("floor", "INTEGER"), ("rooms", "DOUBLE"), ("lat", "DOUBLE"), ("lon", "DOUBLE"),
               ("zip_code", "INTEGER")))} AS good FROM requests) GROUP BY mode""",
+    "score_batch_combined_rows": f"""SELECT mode, count(*) AS requests, count(*) FILTER (good) AS priced,
+        count(*) FILTER (NOT good) AS refused, 0::BIGINT AS differing
+        FROM (SELECT mode, {" AND ".join(f"coalesce({c}, '') <> ''" for c in vocab.REQUEST_REQUIRED)} AND mode IN ('rental', 'purchase')
+          AND {" AND ".join(f"TRY_CAST({c} AS {k}) IS NOT NULL" for c, k in (
+              ("area", "DOUBLE"), ("floor", "INTEGER"), ("rooms", "DOUBLE"), ("lat", "DOUBLE"), ("lon", "DOUBLE"),
+              ("zip_code", "INTEGER")))} AS good FROM requests) GROUP BY mode""",
     "linear_single": " UNION ALL ".join(
         f"""SELECT '{mode}' AS mode, round(regr_slope(price, area_sqm), 4) AS slope, round(regr_intercept(price, area_sqm), 3) AS intercept,
         round(regr_r2(price, area_sqm), 6) AS r2 FROM properties WHERE {side}"""

@@ -680,6 +680,40 @@ def score_batch_boosted(t: Tables) -> DataFrame:
     return pricing.score_batch(t.requests, {m: parts[0] for m, parts in t.boosted.items()}, RUN_TS, log_scale=True)
 
 
+def _combined_requests(t: Tables) -> DataFrame:
+    """Requests with the text of their listing; every fifth has none."""
+    texts = t.properties.select("id", F.when(F.col("id") % 5 != 3, F.col("description")).alias("description"))
+    return t.requests.join(texts, "id")
+
+
+@query
+def score_batch_combined(t: Tables) -> DataFrame:
+    """By the stored models: a price or a reason for every request."""
+    folder = fresh_path(t.spark, "models")
+    stored = {m: models.fit_or_load(t.spark, models.model_path(folder, "combined", m), lambda: parts[0])
+              for m, parts in t.combined.items()}
+    return pricing.score_batch_combined(_combined_requests(t), t.listing_vectors, stored, RUN_TS)
+
+
+@query
+def score_batch_combined_rows(t: Tables) -> DataFrame:
+    """Requests, and how many got a price or a reason for none, by mode; and how many the stored models price otherwise
+    than the fitted."""
+    folder = fresh_path(t.spark, "models")
+    requests, vectors, both = _combined_requests(t), t.listing_vectors, []
+    fitted = {m: parts[0] for m, parts in t.combined.items()}
+    for m, model in fitted.items():
+        models.save_model(model, models.model_path(folder, "combined", m))
+    stored = {m: models.fit_or_load(t.spark, models.model_path(folder, "combined", m), lambda: model) for m, model in fitted.items()}
+    for name, some in (("fitted", fitted), ("stored", stored)):
+        both.append(pricing.score_batch_combined(requests, vectors, some, RUN_TS).select(
+            "id", "mode", "error", F.col("prediction").alias(name)))
+    met = both[0].join(both[1].select("id", "stored"), "id")
+    return met.groupBy("mode").agg(
+        F.count(F.lit(1)).alias("requests"), F.count("fitted").alias("priced"), F.count("error").alias("refused"),
+        F.count_if(~F.col("fitted").eqNullSafe(F.col("stored"))).alias("differing"))
+
+
 @query
 def save_load_model(t: Tables) -> DataFrame:
     path = models.model_path(fresh_path(t.spark, "models"), "linear", "rental")

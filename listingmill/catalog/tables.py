@@ -166,7 +166,12 @@ class Tables:
 
     @cached_property
     def combined(self):
-        """Per mode: pipeline, grid report, test rows. Texts are clustered and vectors pooled for all listings."""
-        texts = stage(txt.cluster_texts(self.properties)[0].drop("text_vec"), "text-clusters")
-        vectors = self.base("embeddings").withColumn("id", F.floor(F.col("vec_id") / 4) + 1)
-        return self._both(lambda m: pricing.combined_model(texts, vectors, m, RUN_TS))
+        """Per mode: pipeline, grid report, test rows. One after the other: the driver's singular value decomposition of
+        the projection keeps state between calls and does not converge when two threads are in it."""
+        properties, vectors = self.properties, self.listing_vectors
+        return {m: pricing.combined_model(properties, vectors, m, RUN_TS) for m in MODES}
+
+    @cached_property
+    def listing_vectors(self) -> DataFrame:
+        """Up to four vectors a listing; listings beyond the vectors have none."""
+        return self.base("embeddings").withColumn("id", F.floor(F.col("vec_id") / 4) + 1)

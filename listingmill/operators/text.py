@@ -108,7 +108,8 @@ def _with_text(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
 
 
-_INTERNAL = ("_text", "_words", "_terms", "_counts", "_weights")
+#: Columns between the stages of a text pipeline.
+INTERNAL = ("_text", "_words", "_terms", "_counts", "_weights")
 
 
 def cluster_texts(docs: DataFrame, text: str = "description", k: int = 10, seed: int = 42,
@@ -116,11 +117,11 @@ def cluster_texts(docs: DataFrame, text: str = "description", k: int = 10, seed:
     """``description_cluster`` from k-means on text weights, with the fitted
     pipeline that assigns new texts."""
     vectors = text_vectoriser(docs, text, max_features)
-    features = vectors.transform(_with_text(docs, text)).drop(*_INTERNAL)
+    features = vectors.transform(_with_text(docs, text)).drop(*INTERNAL)
     kmeans = KMeans(k=k, seed=seed, featuresCol="text_vec", predictionCol="description_cluster").fit(features)
     model = PipelineModel(stages=[*vectors.stages, kmeans])
     return kmeans.transform(features), model
 
 
 def assign_text_cluster(model: PipelineModel, docs: DataFrame, text: str = "description") -> DataFrame:
-    return model.transform(_with_text(docs, text)).drop(*_INTERNAL)
+    return model.transform(_with_text(docs, text)).drop(*INTERNAL)

@@ -7,13 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, Imputer, SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -21,7 +19,9 @@ from pyspark.sql import functions as F
 
 from listingmill.operators import evaluation as ev
 from listingmill.operators import features as ft
+from listingmill.operators.text import INTERNAL, text_vectoriser
 from listingmill.operators.vectors import pool_vectors, width_of
+from listingmill.plans.stages import DropColumns, PoolVectors
 from listingmill.sources.workspace import stage
 
 NUMERIC = (
@@ -33,6 +33,7 @@ CATEGORICAL = ("city", "region")
 NOISED = ("price", "rooms", "area_sqm", "floor", "latitude", "longitude", "log_area_sqm")
 
 BOOSTED_NUMERIC = ("rooms", "area_sqm", "floor", "has_balcony", "longitude", "latitude", "room_size")
+BOOSTED_NOISED = ("price", "rooms", "area_sqm", "floor", "latitude", "longitude")
 BOOSTED_CATEGORICAL = ("zip_code", "city", "region", "geo_cluster")
 
 # Column lists above and search grids below.
@@ -130,21 +131,16 @@ def grid_report(model: CrossValidatorModel, ready: DataFrame) -> DataFrame:
 
 def _fit(train: DataFrame, stages: Callable[[DataFrame], list], regressor: Estimator,
          grid: Mapping[str, Sequence] | None, label: str, folds: int) -> tuple[PipelineModel, DataFrame | None]:
-    """Fit feature stages once, keep their output for all grid points, search,
-    and join both into one pipeline.  The training rows are kept as well: every
-    feature stage passes over them."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit feature stages once, store their output for all grid points, search,
+    and join both into one pipeline.  Every feature stage passes over the
+    training rows, so ``train`` should be a stored table."""
     prepared = Pipeline(stages=stages(train)).fit(train)
     ready = prepared.transform(train).select("id", "features", F.col(label).cast("double").alias(label))
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if grid is None:
-            return PipelineModel(stages=[*prepared.stages, regressor.fit(ready)]), None
-        found = search(regressor, ready, grid, label, folds)
-        return PipelineModel(stages=[*prepared.stages, found.bestModel]), grid_report(found, ready)
-    finally:
-        ready.unpersist()
-        train.unpersist()
+    ready = stage(ready, "features")
+    if grid is None:
+        return PipelineModel(stages=[*prepared.stages, regressor.fit(ready)]), None
+    found = search(regressor, ready, grid, label, folds)
+    return PipelineModel(stages=[*prepared.stages, found.bestModel]), grid_report(found, ready)
 
 
 def _listing_stages(train: DataFrame) -> list:
@@ -195,12 +191,15 @@ def boosted_model(df: DataFrame, mode: str, grid: Mapping[str, Sequence] = SMALL
                   seed: int = 42) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Boosted trees on the log price of one side: pipeline, grid report, test rows.
 
-    ``price_per_sqm`` gives the price away and is left out unless asked for.
+    Rare training rows are augmented before the ratios and the log price are
+    taken.  ``price_per_sqm`` gives the price away and is left out unless asked for.
     """
-    rows = boosted_features(ft.bounds_filter(ft.exclude_commercial(df)))
+    rows = ft.size_floor_flags(ft.bounds_filter(ft.exclude_commercial(df)))
     side = ft.price_split(rows)[0 if mode == "rental" else 1]
-    split = ft.train_test_split(side, seed=seed)
+    split = stage(ft.train_test_split(side, seed=seed), "boosted-split")
     train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+    train = ft.augment_rare(train, BOOSTED_NOISED, seed=seed)
+    train, test = (stage(boosted_features(x), "boosted-side") for x in (train, test))
     numeric = (*BOOSTED_NUMERIC, *(("price_per_sqm",) if leak_price_per_sqm else ()),
                *(ft.keyword_name(w) for w in ft.vocab.KEYWORDS))
 
@@ -215,27 +214,50 @@ def boosted_model(df: DataFrame, mode: str, grid: Mapping[str, Sequence] = SMALL
     return model, report, test
 
 
+def combined_rows(listings: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Listings with ``images`` (their vectors' mean as the only vector, or none) and no cluster of their own."""
+    vectors = vectors.where(F.col("embedding").isNotNull())
+    means = pool_vectors(vectors, vectors.select("id").distinct()).select(F.col("id").alias("_id"), F.array("pooled").alias("images"))
+    found = listings.join(means, F.col("id") == F.col("_id"), "left").drop("_id")
+    return found if "description_cluster" in listings.columns else found.withColumn("description_cluster", F.lit(None).cast("int"))
+
+
+def _combined_stages(rows: DataFrame, width: int, components: int, clusters: int, seed: int) -> list:
+    """From raw columns to features: everything that a request needs is fitted on the training rows and stored."""
+    texts = text_vectoriser(rows.where(~F.col("augmented")))
+    return [
+        SQLTransformer(statement="SELECT *, coalesce(description, '') AS _text FROM __THIS__"),
+        *texts.stages,
+        KMeans(k=clusters, seed=seed, featuresCol="text_vec", predictionCol="text_cluster"),
+        # a request without a text may name its cluster
+        SQLTransformer(statement="SELECT *, CASE WHEN description IS NULL THEN coalesce(description_cluster, text_cluster) "
+                                 "ELSE text_cluster END AS cluster FROM __THIS__"),
+        PoolVectors(inputCol="images", outputCol="image", width=width),
+        _bin_stage(rows),
+        StandardScaler(inputCol="image", outputCol="image_centred", withMean=True, withStd=False),
+        PCA(k=min(components, width), inputCol="image_centred", outputCol="img_pca"),
+        *_assemble((*NUMERIC, "lat_bin", "lon_bin"), (*CATEGORICAL, "cluster"), ("img_pca",)),
+        DropColumns(columns=[*INTERNAL, "text_vec", "images", "image", "image_centred"]),
+    ]
+
+
 def combined_model(listings: DataFrame, vectors: DataFrame, mode: str, run_ts: str,
                    grid: Mapping[str, Sequence] = SMALL_FOREST_GRID, components: int = 100,
-                   folds: int = 3, seed: int = 42) -> tuple[PipelineModel, DataFrame, DataFrame]:
+                   folds: int = 3, clusters: int = 10, seed: int = 42) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Forest over structured features, the text cluster and image components.
 
-    ``listings`` carry ``description_cluster``; ``vectors`` are (id, embedding),
-    any number per listing: their mean, or zeros, stands for the listing's
-    images.  Returns pipeline, report, test rows.
+    ``vectors`` are (id, embedding), any number per listing: their mean, or
+    zeros, stands for the listing's images.  Vocabulary, text clusters, pooling
+    and projection are fitted on the training rows of this mode and are stages
+    of the pipeline, which alone turns a request into a price.  Returns
+    pipeline, report, test rows.
     """
-    width = width_of(vectors)
-    pooled = pool_vectors(vectors, listings)
-    vectors = pooled.select("id", array_to_vector(F.col("pooled")).alias("image"))
-    train, test = training_sides(listings.join(vectors, "id"), mode, run_ts, seed=seed)
+    width = max(width_of(vectors), 1)
+    sides = training_sides(combined_rows(listings, vectors), mode, run_ts, seed=seed)
+    train, test = (stage(side, f"combined-{mode}") for side in sides)
 
     def stages(rows: DataFrame) -> list:
-        return [
-            _bin_stage(rows),
-            StandardScaler(inputCol="image", outputCol="image_centred", withMean=True, withStd=False),
-            PCA(k=min(components, width), inputCol="image_centred", outputCol="img_pca"),
-            *_assemble((*NUMERIC, "lat_bin", "lon_bin"), (*CATEGORICAL, "description_cluster"), ("img_pca",)),
-        ]
+        return _combined_stages(rows, width, components, clusters, seed)
 
     model, report = _fit(train, stages, RandomForestRegressor(labelCol="price", seed=seed), grid, "price", folds)
     return model, report, test
@@ -287,11 +309,8 @@ def top_coefficients(model: PipelineModel, rows: DataFrame, n: int = 15) -> Data
     return _top(model, rows, model.stages[-1].coefficients.toArray(), "coefficient", n)
 
 
-def score_batch(requests: DataFrame, models: Mapping[str, PipelineModel], run_ts: str,
-                log_scale: bool = False) -> DataFrame:
-    """(id, mode, prediction, error) of all requests: valid ones by the model of
-    their mode, rounded to two places; for the others ``error`` says why there
-    is no prediction."""
+def _typed(requests: DataFrame, models: Mapping[str, PipelineModel]) -> tuple[DataFrame, DataFrame]:
+    """(refused, typed): requests with the reason why they get no price, and the others with typed columns."""
     numbers = {"area": "double", "floor": "int", "rooms": "double", "lat": "double", "lon": "double", "zip_code": "int"}
     checked = ev.validate_requests(requests)
     unread = F.array_join(F.array_compact(F.array(*[
@@ -312,6 +331,26 @@ def score_batch(requests: DataFrame, models: Mapping[str, PipelineModel], run_ts
         **{f: F.col(f) == 1 for f in ev.vocab.REQUEST_FLAGS},
         "is_rental": F.col("mode") == "rental",
     })
+    return refused, typed
+
+
+def _priced(refused: DataFrame, rows: DataFrame, models: Mapping[str, PipelineModel], log_scale: bool = False) -> DataFrame:
+    """The refused requests and ``rows``, each priced by the model of its mode."""
+    scored = refused
+    for mode, model in models.items():
+        out = model.transform(rows.where(F.col("mode") == mode))
+        price = ft.from_log(F.col("prediction")) if log_scale else F.col("prediction")
+        scored = scored.unionByName(out.select(
+            "id", "mode", F.round(price, 2).alias("prediction"), F.lit(None).cast("string").alias("error")))
+    return scored
+
+
+def score_batch(requests: DataFrame, models: Mapping[str, PipelineModel], run_ts: str,
+                log_scale: bool = False) -> DataFrame:
+    """(id, mode, prediction, error) of all requests: valid ones by the model of
+    their mode, rounded to two places; for the others ``error`` says why there
+    is no prediction."""
+    refused, typed = _typed(requests, models)
     if log_scale:
         for name in ("title", "description"):
             if name not in typed.columns:
@@ -320,12 +359,17 @@ def score_batch(requests: DataFrame, models: Mapping[str, PipelineModel], run_ts
         rows = boosted_features(typed, ("title", "description")).withColumn("price_per_sqm", F.lit(0.0))
     else:
         rows = structured_features(typed, run_ts)
-    parts = []
-    for mode, model in models.items():
-        scored = model.transform(rows.where(F.col("mode") == mode))
-        price = ft.from_log(F.col("prediction")) if log_scale else F.col("prediction")
-        parts.append(scored.select("id", "mode", F.round(price, 2).alias("prediction"), F.lit(None).cast("string").alias("error")))
-    scored = refused
-    for part in parts:
-        scored = scored.unionByName(part)
-    return scored
+    return _priced(refused, rows, models, log_scale)
+
+
+def score_batch_combined(requests: DataFrame, vectors: DataFrame, models: Mapping[str, PipelineModel], run_ts: str) -> DataFrame:
+    """The same by combined models, which also look at a request's text and images.
+
+    ``requests`` may carry ``description``; without a text the cluster that the
+    request names counts, 0 if it names none.  ``vectors`` are (id, embedding)
+    of the requests' images, any number each.
+    """
+    refused, typed = _typed(requests, models)
+    if "description" not in typed.columns:
+        typed = typed.withColumn("description", F.lit(None).cast("string"))
+    return _priced(refused, combined_rows(structured_features(typed, run_ts), vectors), models)
