@@ -460,14 +460,20 @@ ORACLES: dict[str, str] = {
             ("description", "string"), ("has_balcony", "boolean"), ("image_urls", "array<string>"), ("latitude", "double"),
             ("longitude", "double"), ("is_rental", "boolean")))) + ") c(position, \"column\", type)",
     "one_hot": """SELECT id, cs AS city_slot, rs AS region_slot FROM properties
-        JOIN (SELECT city, row_number() OVER (ORDER BY count(*) DESC, city) - 1 AS cs FROM properties
-              WHERE city IS NOT NULL AND region IS NOT NULL GROUP BY city) USING (city)
-        JOIN (SELECT region, row_number() OVER (ORDER BY count(*) DESC, region) - 1 AS rs FROM properties
-              WHERE city IS NOT NULL AND region IS NOT NULL GROUP BY region) USING (region)""",
+        LEFT JOIN (SELECT city, row_number() OVER (ORDER BY count(*) DESC, city) - 1 AS cs FROM properties
+              WHERE city IS NOT NULL GROUP BY city) USING (city)
+        LEFT JOIN (SELECT region, row_number() OVER (ORDER BY count(*) DESC, region) - 1 AS rs FROM properties
+              WHERE region IS NOT NULL GROUP BY region) USING (region)""",
     "align_features": """SELECT id, CASE WHEN area_sqm > 80 THEN 1e0 ELSE 0e0 END AS is_large, 0e0 AS not_seen,
         coalesce(CAST(floor AS DOUBLE), 0e0) AS floor, coalesce(rooms, 0e0) AS rooms FROM properties""",
     "drop_text_columns": "SELECT src_id, zip_code, city, region, price, rooms, area_sqm, floor, has_balcony FROM properties",
     "tfidf": "SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
+    "silhouette": """SELECT count(*) AS points, round(avg(CASE WHEN n = 1 THEN 0e0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0e0) END), 6) AS silhouette
+        FROM (SELECT vec_id, max(CASE WHEN own THEN n END) AS n, max(CASE WHEN own THEN s / nullif(n - 1, 0) END) AS a,
+                min(CASE WHEN NOT own THEN s / n END) AS b
+          FROM (SELECT p.vec_id, p.label = o.label AS own, o.label, count(*) AS n,
+                  sum(list_distance(p.embedding::DOUBLE[], o.embedding::DOUBLE[]) ** 2) AS s
+                FROM embeddings p JOIN embeddings o ON true GROUP BY ALL) GROUP BY vec_id)""",
     "silhouette_exact": """SELECT count(*) AS points, round(avg(CASE WHEN size = 1 THEN 0e0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0e0) END), 6) AS silhouette
         FROM (SELECT x, max(size) AS size, max(CASE WHEN own THEN s / (n - 1) END) AS a, min(CASE WHEN NOT own THEN s / n END) AS b
           FROM (SELECT p.vec_id AS x, p.label = o.label AS own, o.label, sum(list_distance(p.embedding::DOUBLE[], o.embedding::DOUBLE[])) AS s,

@@ -438,11 +438,12 @@ def augment_rare(t: Tables) -> DataFrame:
 
 @query
 def one_hot(t: Tables) -> DataFrame:
-    coded = ft.one_hot(t.properties.where("city is not null and region is not null"))
+    coded = ft.one_hot(t.properties)
     from pyspark.ml.functions import vector_to_array
 
     def position(column: str) -> Column:
-        return (F.array_position(vector_to_array(column), 1.0) - 1).cast("bigint").alias(column.replace("_vec", "_slot"))
+        place = F.nullif(F.array_position(vector_to_array(column), 1.0), F.lit(0))
+        return (place - 1).cast("bigint").alias(column.replace("_vec", "_slot"))
 
     return coded.select("id", position("city_vec"), position("region_vec"))
 
@@ -498,6 +499,11 @@ def k_sweep(t: Tables) -> DataFrame:
     return vec.k_sweep(t.base("embeddings"))
 
 
+@query
+def silhouette(t: Tables) -> DataFrame:
+    return vec.silhouette(t.base("embeddings")).select("points", r("silhouette", 6))
+
+
 @query
 def silhouette_exact(t: Tables) -> DataFrame:
     return vec.silhouette_exact(t.base("embeddings")).select("points", r("silhouette", 6))

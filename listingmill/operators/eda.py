@@ -155,13 +155,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> Da
     typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     upper = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
 
-    def spread(i: int, j: int):
-        both = F.col(columns[i]).isNotNull() & F.col(columns[j]).isNotNull()
-        return [F.when(both, F.col(columns[k])) for k in (i, j)]
-
     def r(i: int, j: int):
-        a, b = spread(i, j)
-        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)).alias(f"r{i}_{j}")
+        # rows with a null do not count; r2 is null or (with no covariance) 1 where a column has no spread
+        r2, sxy = F.regr_r2(columns[i], columns[j]), F.regr_sxy(columns[i], columns[j])
+        return F.when((sxy != 0) | (r2 != 1), F.signum(sxy) * F.sqrt(r2)).alias(f"r{i}_{j}")
 
     one = typed.agg(*[r(i, j) for i, j in upper])
     cells = [

@@ -8,6 +8,7 @@ from datetime import datetime, time
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from listingmill import vocab
 from listingmill.functions import relational as rel
 from listingmill.functions import text as tx
+from listingmill.sources.workspace import stage
 
 MODES = ("rental", "purchase")
 TEXT_COLUMNS = ("title", "address", "availability_date", "description", "image_urls", "id")
@@ -191,8 +193,23 @@ def one_hot_stages(columns: Sequence[str]) -> list:
 
 
 def one_hot(df: DataFrame, columns: Sequence[str] = ("city", "region")) -> DataFrame:
-    """``<column>_vec`` indicator vectors, categories by falling frequency."""
-    return Pipeline(stages=one_hot_stages(columns)).fit(df).transform(df)
+    """``<column>_vec`` indicator vectors, categories by falling frequency; a null category is all zeros.
+
+    The dictionary is a table, numbered and joined as one: no category goes to
+    the driver, and the vectors are sparse.
+    """
+    slots = stage(rel.category_slots(df, columns), "slots")
+    for c in columns:
+        # "keep" sends unknown slots to an extra last place, which dropLast leaves out; the width is the largest slot
+        encode = OneHotEncoder(inputCol=f"{c}_ix", outputCol=f"{c}_vec", dropLast=True, handleInvalid="keep")
+        known = slots.where(F.col("field") == c).select(F.col("slot").cast("double").alias(f"{c}_ix"))
+        if known.isEmpty():
+            df = df.withColumn(f"{c}_vec", F.lit(None).cast(VectorUDT()))
+            continue
+        width = slots.where(F.col("field") == c).agg(F.count(F.lit(1)).cast("double")).scalar()
+        df = rel.with_slot(df, slots, c, "_slot").withColumn(f"{c}_ix", F.coalesce(F.col("_slot").cast("double"), width)).drop("_slot")
+        df = encode.fit(known).transform(df)
+    return df
 
 
 def geo_cluster(df: DataFrame, k: int = 10, seed: int = 42,

@@ -9,8 +9,6 @@ from listingmill.functions.relational import dense_ids
 from listingmill.operators.cleaning import amenity_flags
 from listingmill.schemas import LOADED_COLUMNS, PROPERTY
 
-BUCKET_ROWS = 65_536
-
 
 def load_properties(clean: DataFrame, key: str = "src_id") -> DataFrame:
     """Cleaned listings as rows of the property table.
@@ -23,7 +21,7 @@ def load_properties(clean: DataFrame, key: str = "src_id") -> DataFrame:
         return F.nullif(F.col(column).cast("double"), F.lit(0.0))
 
     rows = amenity_flags(clean.withColumns({"area_sqm": positive("area_sqm"), "rooms": positive("rooms")}))
-    numbered = dense_ids(rows, [key], F.floor(F.col(key) / BUCKET_ROWS))
+    numbered = dense_ids(rows, [key])
     extra = [c for c in ("image_urls", "latitude", "longitude", key) if c in clean.columns]
     return numbered.select(*LOADED_COLUMNS, *extra)
 
@@ -33,7 +31,7 @@ def explode_images(properties: DataFrame) -> DataFrame:
     property and list order."""
     urls = properties.select(
         F.col("id").alias("property_id"), F.posexplode("image_urls").alias("pos", "url"))
-    numbered = dense_ids(urls, ["property_id", "pos"], F.floor(F.col("property_id") / BUCKET_ROWS))
+    numbered = dense_ids(urls, ["property_id", "pos"])
     return numbered.select("id", "property_id", "url")
 
 
