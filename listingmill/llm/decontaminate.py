@@ -99,6 +99,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, thre
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """The documents in which no benchmark item is contained, all columns unchanged."""
     found = _pairs(docs, benchmark, width, threshold).select(
-        F.col("doc_key.doc_id").alias("__id"), F.col("doc_key.h").alias("__h")).distinct()
-    key = _doc_key(docs)
-    return docs.join(found, key["doc_id"].eqNullSafe(F.col("__id")) & (key["h"] == F.col("__h")), "left_anti")
+        F.col("doc_key.doc_id").alias("found_id"), F.col("doc_key.h").alias("found_h")).distinct()
+    # the row travels as one value, so that its columns may have any names
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), _doc_key(docs).alias("key"))
+    left = rows.join(found, F.col("key.doc_id").eqNullSafe(F.col("found_id")) & (F.col("key.h") == F.col("found_h")), "left_anti")
+    return left.select("row.*")

@@ -65,9 +65,10 @@ def exact_duplicates(docs: DataFrame, normalise: Callable[[Column], Column] = un
 
 def drop_exact_duplicates(docs: DataFrame, normalise: Callable[[Column], Column] = unchanged, keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged."""
-    groups = exact_duplicates(docs, normalise, keep).filter("kept").select(
-        F.unhex("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep"))
-    rows = docs.withColumn("__body_sha", F.unhex(F.sha2(_normal(docs, normalise), 256)))
-    met = rows.join(groups, F.col("__body_sha") == F.col("__sha")).filter(docs["doc_id"].eqNullSafe(F.col("__keep")))
-    one = met.withColumn("__place", F.row_number().over(Window.partitionBy("__body_sha").orderBy("__keep")))
-    return one.filter("__place = 1").select(*docs.columns)
+    groups = exact_duplicates(docs, normalise, keep).filter("kept").select(F.unhex("text_sha256").alias("sha"), F.col("keep_id").alias("keep"))
+    # the row travels as one value, so that its columns may have any names
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("id"),
+                       F.unhex(F.sha2(_normal(docs, normalise), 256)).alias("body_sha"))
+    met = rows.join(groups, (F.col("body_sha") == F.col("sha")) & F.col("id").eqNullSafe(F.col("keep")))
+    one = met.withColumn("place", F.row_number().over(Window.partitionBy("body_sha").orderBy("keep")))
+    return one.filter("place = 1").select("row.*")

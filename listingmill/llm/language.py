@@ -5,8 +5,8 @@ phrases that occur in the language's sample; text that is like the sample needs
 phrases per character wins, and the score is how much fewer it needs than the runner-up.
 
 The sample is bounded: per language the ``DOCS_PER_LANGUAGE`` labelled documents with the smallest hash of their identifier,
-``EXCERPT`` characters from the middle of each, and the ``MAX_LANGUAGES`` languages with most documents. Everything else
-covers whole texts: they are cut into blocks of ``BLOCK`` characters, a phrase ends with its block, and the blocks of many
+``EXCERPT`` characters from the middle of each; beyond 64 languages fewer of each, so that all share ``SAMPLED_DOCS`` and none
+is left out. Everything else covers whole texts: they are cut into blocks of ``BLOCK`` characters, a phrase ends with its block, and the blocks of many
 texts walk through the automata side by side, so a long text is no long task by itself.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; without labelled rows every text is; rows with
@@ -16,7 +16,7 @@ an empty table gives an empty result; other columns are ignored, whatever they a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +28,7 @@ from listingmill.llm.tokens import by_bytes
 
 DOCS_PER_LANGUAGE = 256
 EXCERPT = 160
-MAX_LANGUAGES = 64
+SAMPLED_DOCS = 64 * DOCS_PER_LANGUAGE
 BLOCK = 1024
 BATCH_BYTES = 2 << 20
 UNKNOWN = "und"
@@ -166,15 +166,15 @@ def _parser(samples: tuple[tuple[str, tuple[str, ...]], ...]) -> Parser:
 def learn(docs: DataFrame, usable: Column | None = None) -> tuple[tuple[str, tuple[str, ...]], ...]:
     """The bounded sample: (language, excerpts), from the rows where ``usable`` holds and language and text are not null."""
     rows = docs.filter(docs["lang"].isNotNull() & docs["text"].isNotNull() & (F.lit(True) if usable is None else usable))
-    sizes = rows.groupBy(docs["lang"].alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    languages = [r["lang"] for r in sizes.select("lang").collect()]
+    languages = rows.select(docs["lang"].alias("lang")).distinct().count()
+    each = max(1, min(DOCS_PER_LANGUAGE, SAMPLED_DOCS // max(languages, 1)))
     text = docs["text"].cast("string")
-    some = rows.filter(docs["lang"].isin(languages)).select(
+    some = rows.select(
         docs["lang"].alias("lang"), F.xxhash64(docs["doc_id"]).alias("draw"),
         F.substr(text, F.greatest(F.lit(1), F.floor(F.length(text) / 2).cast("int") - EXCERPT // 2), F.lit(EXCERPT)).alias("excerpt"))
     first = some.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "excerpt")))
     held: dict[str, list[str]] = {}
-    for r in sorted(first.filter(F.col("place") <= DOCS_PER_LANGUAGE).collect(), key=lambda r: (r["lang"], r["place"])):
+    for r in sorted(first.filter(F.col("place") <= each).collect(), key=lambda r: (r["lang"], r["place"])):
         held.setdefault(r["lang"], []).append(r["excerpt"])
     return tuple((lang, tuple(x)) for lang, x in sorted(held.items()))
 
@@ -188,7 +188,7 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, tuple[str, ...]], ...]) -
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in by_bytes(batches, "text", BATCH_BYTES):
             texts = [x or "" for x in some.column("text").to_pylist()]
-            langs, scores = _guess(_parser(shared.value), texts)
+            langs, scores, _ = _guess(_parser(shared.value), texts)
             yield pa.RecordBatch.from_arrays(
                 [*some.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=[*some.schema.names[:-1], "lang_pred", "score"])
@@ -196,19 +196,26 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, tuple[str, ...]], ...]) -
     return rows.mapInArrow(guess, f"doc_id {kind}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents whose language is known, all columns unchanged; learnt from the documents themselves."""
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs))
+def keep_identified(docs: DataFrame, languages: Sequence[str] | None = None) -> DataFrame:
+    """The documents whose language is known, all columns unchanged; learnt from the documents themselves.
+
+    ``languages``: only these. Without labelled documents there is nothing to compare with, so that every document with a letter
+    stays, whatever ``languages`` says.
+    """
+    samples = learn(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(samples)
+    wanted = None if languages is None or not samples else set(languages)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in by_bytes(batches, "text", BATCH_BYTES):
-            langs, _ = _guess(_parser(shared.value), [x or "" for x in some.column("text").to_pylist()])
-            yield some.filter(pa.array([x != UNKNOWN for x in langs]))
+            langs, _, letters = _guess(_parser(shared.value), [x or "" for x in some.column("text").to_pylist()])
+            yield some.filter(pa.array([bool(has) and (wanted is None or lang in wanted) for lang, has in zip(langs, letters)], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 
 
-def _guess(parser: Parser, texts: list[str]) -> tuple[list[str], list[float]]:
+def _guess(parser: Parser, texts: list[str]) -> tuple[list[str], list[float], np.ndarray]:
+    """Language and score of each text, and whether it has a letter."""
     points = [_points(x) for x in texts]
     starts = np.cumsum([0, *map(len, points)])[:-1]
     flat = np.concatenate(points) if points else np.zeros(0, np.uint32)
@@ -216,15 +223,15 @@ def _guess(parser: Parser, texts: list[str]) -> tuple[list[str], list[float]]:
     letters = np.concatenate([[0], np.cumsum(letter[flat])])
     has = letters[np.append(starts[1:], len(flat))] > letters[starts]
     langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-    if not parser.languages:
-        return langs, scores
+    if not parser.languages or not texts:
+        return langs, scores, has
     counts = parser.phrases(parser.symbol[flat], starts)
     best = counts.argmin(axis=0)
     ranked = np.sort(counts, axis=0)
     gain = 1 - ranked[0] / np.maximum(ranked[1] if len(ranked) > 1 else ranked[0] * 2, 1)
     for i in np.nonzero(has)[0].tolist():
         langs[i], scores[i] = parser.languages[best[i]], float(gain[i])
-    return langs, scores
+    return langs, scores, has
 
 
 def held_out(docs: DataFrame) -> Column:

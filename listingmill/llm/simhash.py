@@ -479,5 +479,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8
         F.coalesce("root", "node").alias("root"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h").alias("row")), "rooted")
     best = rooted.groupBy("root").agg(F.min("row").alias("kept"), F.max("row").alias("last")).filter("kept != last")
     gone = rooted.join(stage(best.select("root", "kept"), "kept"), "root").filter("row != kept").select(
-        F.col("row.doc_id").alias("__id"), F.col("row.h").alias("__h")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.md5(text) == F.col("__h")), "left_anti")
+        F.col("row.doc_id").alias("gone_id"), F.col("row.h").alias("gone_h")).distinct()
+    # the row travels as one value, so that its columns may have any names
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("id"), F.md5(text).alias("h"))
+    return whole.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("h") == F.col("gone_h")), "left_anti").select("row.*")
