@@ -36,6 +36,14 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], out: str = "id") -> DataFr
     )
 
 
+def scattered(df: DataFrame) -> Column:
+    """A number that spreads rows over the partitions and is the same when a task runs again: a hash of the numeric columns
+    (ids, prices; cheap), or of all plain ones where there is none."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+    numeric = [c for c, k in kinds.items() if k in ("byte", "short", "integer", "long", "float", "double", "date", "timestamp")]
+    return F.xxhash64(*[df[c] for c in numeric or [c for c, k in kinds.items() if k not in ("array", "map", "struct")]])
+
+
 def category_slots(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(field, value, slot): the values of each column by falling frequency (equal counts by value), from slot 0 on."""
     pair = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns]))
@@ -59,7 +67,7 @@ def with_slot(df: DataFrame, slots: DataFrame, column: str, out: str, hot: int =
     met = df.join(F.broadcast(top), value == F.col("_v"), "left")
     done = F.col("_s").isNotNull() | F.col(column).isNull()
     met = met.withColumn("_k", F.when(~done, value)).withColumn(
-        "_spread", F.when(done, F.monotonically_increasing_id()).otherwise(F.lit(0)))
+        "_spread", F.when(done, scattered(df)).otherwise(F.lit(0)))
     both = met.join(rare, (F.col("_k") == F.col("_w")) & (F.col("_spread") == F.col("_z")), "left")
     return both.withColumn(out, F.coalesce("_s", "_t")).drop("_v", "_s", "_k", "_spread", "_w", "_t", "_z")
 

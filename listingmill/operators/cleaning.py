@@ -1,20 +1,22 @@
 """Cleaning rules: each takes a listing DataFrame and returns one.
 
 Everything is a column expression, except for the gazetteer look-ups (equi
-joins on zip, city or the first letters of a name) and the price bands (an
-aggregate per region and area).  A join that only concerns rows with a gap
+joins on zip or city, and one automaton of all place names that reads texts)
+and the price bands (an aggregate per region and area).  A join that only concerns rows with a gap
 gets a null key for all other rows, or only sees the rows with a gap.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingmill import vocab
 from listingmill.functions import text as tx
+from listingmill.functions.relational import scattered
 
 REQUIRED = ("price", "address", "rooms", "floor", "area_sqm", "availability_date", "description")
 
@@ -129,22 +131,64 @@ def zip_city_from_text(df: DataFrame) -> DataFrame:
     )
 
 
-def places_in_text(texts: DataFrame, postal: DataFrame, key: str, text: str) -> DataFrame:
+#: A gazetteer of this many bytes of names is broadcast as one automaton; a larger one is joined.
+AUTOMATON_BYTES = 16 << 20
+
+
+def _names(postal: DataFrame) -> DataFrame:
+    """(place, name): the distinct places and their lower-case names."""
+    places = postal.where(F.col("city").isNotNull() & (F.col("city") != "")).select(F.col("city").alias("place")).distinct()
+    return places.withColumn("name", F.lower("place"))
+
+
+def places_in_text(texts: DataFrame, postal: DataFrame, key: str, text: str, most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """Longest gazetteer name found anywhere in a text: (key, place).
 
-    Instead of testing every name against every text, a text is cut into its
-    overlapping windows, one per position and as long as the longest name.  A
-    window whose first letters begin some name is cut to the lengths such names
-    have, and these cuts meet the names whole (equi joins both; the first table
-    has one row for each beginning, so a frequent one meets no list of names).
-    Equal lengths are settled by name.
+    All names are one automaton that reads each text once, whatever their
+    number.  It is built in the workers from the names, which are broadcast
+    after their bytes are counted; more than ``most_bytes`` of names meet the
+    texts in a join instead.  Equal lengths are settled by name.
     """
-    names = (
-        postal.where(F.col("city").isNotNull() & (F.col("city") != ""))
-        .select(F.col("city").alias("place")).distinct()
-        .withColumn("name", F.lower("place"))
-        .withColumn("head", F.substring("name", 1, 4))
-    )
+    names = _names(postal)
+    if names.agg(F.coalesce(F.sum(F.octet_length("place")), F.lit(0))).first()[0] > most_bytes:
+        found = _places_by_join(texts, names, key, text)
+    else:
+        rows = texts.where(F.col(text).isNotNull()).select(key, F.lower(text).alias("_text"))
+        found = rows.mapInArrow(_searcher(names, key), f"`{key}` {dict(rows.dtypes)[key]}, place string")
+    return found.groupBy(key).agg(F.max_by("place", F.struct(F.length("place"), F.col("place"))).alias("place"))
+
+
+def _searcher(names: DataFrame, key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keeps of each text the longest place whose name is in it."""
+    shared = names.sparkSession.sparkContext.broadcast([(r["name"], r["place"]) for r in names.collect()])  # size checked
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+        automaton = ahocorasick.Automaton()
+        for name, place in sorted(shared.value, key=lambda x: (len(x[1]), x[1])):  # of one name the longest place stays
+            automaton.add_word(name, (len(place), place))
+        if not len(automaton):
+            return
+        automaton.make_automaton()
+        for batch in batches:
+            best = [max((hit for _, hit in automaton.iter(x.as_py())), default=None) for x in batch.column("_text")]
+            found = pa.array([x is not None for x in best])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key).filter(found), pa.array([x[1] for x in best if x], pa.string())], names=[key, "place"])
+
+    return search
+
+
+def _places_by_join(texts: DataFrame, names: DataFrame, key: str, text: str) -> DataFrame:
+    """All names found in the texts: (key, place), some more than once.
+
+    A text is cut into its overlapping windows, one per position and as long as
+    the longest name.  A window whose first letters begin some name is cut to
+    the lengths such names have, and these cuts meet the names whole (equi
+    joins both; the first table has one row for each beginning, so a frequent
+    one meets no list of names).
+    """
+    names = names.withColumn("head", F.substring("name", 1, 4))
     longest = names.agg(F.coalesce(F.max(F.length("name")), F.lit(1)).cast("string")).scalar()
     head_lengths = names.agg(F.collect_set(F.length("head"))).scalar()  # at most 1, 2, 3, 4
     windows = F.array_distinct(F.regexp_extract_all(
@@ -162,11 +206,7 @@ def places_in_text(texts: DataFrame, postal: DataFrame, key: str, text: str) ->
         .where(F.length("window") >= F.col("size"))
         .select(key, F.col("window").substr(F.lit(1), F.col("size")).alias("name"))
     )
-    return (
-        cuts.join(names.select("name", "place"), "name")
-        .groupBy(key)
-        .agg(F.max_by("place", F.struct(F.length("place"), F.col("place"))).alias("place"))
-    )
+    return cuts.join(names.select("name", "place"), "name").select(key, "place")
 
 
 def city_from_gazetteer(df: DataFrame, postal: DataFrame, key: str = "src_id",
@@ -222,8 +262,7 @@ def postal_rollup(postal: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _spread(df: DataFrame, wanted: Column, negative: bool = False) -> Column:
     """A join key for a look-up: rows that look nothing up get keys that no table has, all over the partitions, as equal
     or null keys would meet in one."""
-    plain = [F.col(f.name) for f in df.schema if f.dataType.typeName() not in ("array", "map", "struct")]
-    draw = F.pmod(F.xxhash64(*plain), F.lit(1_000_000)).cast("int")
+    draw = F.pmod(scattered(df), F.lit(1_000_000)).cast("int")
     return F.coalesce(wanted, -1 - draw if negative else F.concat(F.lit("\u0000"), draw.cast("string")))
 
 
