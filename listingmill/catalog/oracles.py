@@ -318,9 +318,12 @@ _CLEAN_COLUMNS = "title, address, zip_code, city, region, price, rooms, floor, a
 _URLS = "array_to_string(image_urls, '|') AS image_urls"
 _FLAGS = ", ".join(vocab.AMENITIES)
 
+_FEED = f"""SELECT title, address, zip_code, city, region, price, rooms, floor, area_sqm, availability_date,
+        has_balcony, md5(description) AS description, {_URLS} FROM raw_listings"""
+
 ORACLES: dict[str, str] = {
-    "read_feeds": f"""SELECT title, address, zip_code, city, region, price, rooms, floor, area_sqm, availability_date,
-        has_balcony, md5(description) AS description, {_URLS} FROM raw_listings""",
+    "read_feeds": _FEED,
+    "read_json_arrays": _FEED,
     "read_postal": """SELECT zip_code, city, region, city_clean, coalesce(listings, 0) AS listings FROM postal LEFT JOIN (
         SELECT TRY_CAST(zip_code AS INTEGER) AS zip_code, count(*) AS listings FROM raw_listings GROUP BY 1) USING (zip_code)""",
     "geo_cluster_rows": """SELECT count(*) AS listings, count(*) FILTER (latitude IS NOT NULL AND longitude IS NOT NULL) AS clustered,

@@ -19,7 +19,8 @@ from listingmill.operators import text as txt
 from listingmill.operators import vectors as vec
 from listingmill.plans import clean as clean_plan
 from listingmill.plans import pricing
-from listingmill.sources import feeds, html, models
+from listingmill.schemas import RAW_LISTING
+from listingmill.sources import arrays, feeds, html, models
 from listingmill.sources import tables as store
 from listingmill.sources.workspace import fresh_path, stage
 
@@ -58,23 +59,36 @@ def digest(column: str) -> Column:
 
 # --- sources and sinks ------------------------------------------------------
 
-def _feed(t: Tables) -> DataFrame:
+def _feed_files(t: Tables) -> str:
     # Feed files hold one JSON array each; a shard is 200 listings at most.
     path = fresh_path(t.spark, "feeds")
     record = F.struct(*[c for c in t.raw.columns if c not in ("latitude", "longitude")])
     (t.raw.groupBy(F.floor(F.col("src_id") / 200).alias("shard"))
         .agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(record)), ",\n"), F.lit("]")).alias("value"))
         .write.partitionBy("shard").option("lineSep", "\n").text(path))
-    return feeds.read_feeds(t.spark, path)
+    return path
 
 
-@query
-def read_feeds(t: Tables) -> DataFrame:
-    return _feed(t).select(
+def _feed(t: Tables) -> DataFrame:
+    return feeds.read_feeds(t.spark, _feed_files(t))
+
+
+def _feed_columns(feed: DataFrame) -> DataFrame:
+    return feed.select(
         "title", "address", "zip_code", "city", "region", "price", "rooms", "floor", "area_sqm", "availability_date",
         "has_balcony", digest("description"), listed("image_urls"))
 
 
+@query
+def read_feeds(t: Tables) -> DataFrame:
+    return _feed_columns(_feed(t))
+
+
+@query
+def read_json_arrays(t: Tables) -> DataFrame:
+    return _feed_columns(arrays.read_json_arrays(t.spark, _feed_files(t), RAW_LISTING))
+
+
 @query
 def read_postal(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "postal")

@@ -15,7 +15,8 @@ def read_feeds(spark: SparkSession, path: str, multiline: bool = True) -> DataFr
     """Every JSON feed under ``path`` as one table; absent columns are null.
 
     ``multiline`` reads files that hold one JSON array.  Such a file is one
-    task; feeds of JSON lines (``multiline=False``) are split.
+    task; feeds of JSON lines (``multiline=False``) are split.  Large arrays are
+    split by ``arrays.read_json_arrays``.
     """
     return (
         spark.read.schema(RAW_LISTING)
