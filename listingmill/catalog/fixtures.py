@@ -103,7 +103,7 @@ LEFT JOIN documents d ON d.doc_id = o.k
 LISTING_PAGES = """
 SELECT CAST(floor(src_id / 3) AS BIGINT) AS page_id,
   'https://homes.example.org/search/' || CAST(CAST(floor(src_id / 3) AS BIGINT) AS STRING) AS url,
-  'https://homes.example.org' AS base_url,
+  'https://homes.example.org' AS base_url, max(CASE WHEN src_id % 3 = 0 THEN place END) AS place,
   '<html><body><div class="listing-list">'
     || coalesce(max(CASE WHEN src_id % 3 = 0 THEN thumb END), '')
     || coalesce(max(CASE WHEN src_id % 3 = 1 THEN thumb END), '')
@@ -115,7 +115,7 @@ SELECT CAST(floor(src_id / 3) AS BIGINT) AS page_id,
     || coalesce(max(CASE WHEN src_id % 3 = 2 THEN card END), '')
     || '</body></html>' AS card_html
 FROM (
-  SELECT src_id,
+  SELECT src_id, trim(region) AS place,
     '<div class="listing-thumb"><header class="listing-thumb-header" title="' || coalesce(address, '') || '">'
       || CASE WHEN src_id % 14 = 3 THEN '' ELSE '<a href="/en/flat/' || CAST(src_id AS STRING) || '/" class="listing-thumb__image">' END
       || '<div class="listing-image"><img src="/t.jpg" alt="' || coalesce(title, '') || '"></div></a></header>'
@@ -149,8 +149,12 @@ SELECT src_id AS page_id, 'https://homes.example.org' AS base_url,
     || coalesce('<figure itemtype="http://schema.org/ImageObject"><a itemprop="contentUrl" href="/img/' || CAST(src_id AS STRING) || '/1.jpg">x</a></figure>', '')
     || CASE WHEN src_id % 4 = 2 THEN '<figure itemtype="http://schema.org/ImageObject"><a itemprop="contentUrl" href="https://cdn.example.org/2.jpg">x</a></figure>' ELSE '' END
     || '</body></html>' AS table_html,
-  '<html><body><dl>'
-    || coalesce('<dt class="fst-normal">Zimmer</dt><dd class="col">' || rooms || '</dd>', '')
+  '<html><body>'
+    || CASE WHEN src_id % 6 = 1 THEN '<ul><li class="list-group-item d-flex">Anzahl Zimmer: <span class="value"> <b>' || CAST(src_id % 7 AS STRING) || '</b></span></li>'
+         || '<li class="list-group-item">Etage <span class="value">99</span></li></ul>'
+       WHEN src_id % 6 = 2 THEN '<li class="list-group-item">Wohnfläche auf Anfrage</li><li>Zimmer <span class="value">1</span></li>'
+       ELSE '' END
+    || '<dl>' || coalesce('<dt class="fst-normal">Zimmer</dt><dd class="col">' || rooms || '</dd>', '')
     || coalesce('<dt class="fst-normal">Etage</dt><dd class="col">' || floor || '</dd>', '')
     || coalesce('<dt>Wohnfläche</dt><dd>' || area_sqm || '</dd>', '')
     || coalesce('<dt>verfügbar ab</dt><dd>' || availability_date || '</dd>', '')

@@ -246,8 +246,8 @@ def bare(text: str) -> str:
 
 
 def blocks(column: str, opening: str) -> str:
-    return f"""SELECT page_id, base_url, generate_subscripts(b, 1) - 1 AS position, unnest(b) AS block
-  FROM (SELECT page_id, base_url, string_split_regex({column}, '{opening}')[2:] AS b FROM listing_pages)"""
+    return f"""SELECT page_id, base_url, place, generate_subscripts(b, 1) - 1 AS position, unnest(b) AS block
+  FROM (SELECT page_id, base_url, place, string_split_regex({column}, '{opening}')[2:] AS b FROM listing_pages)"""
 
 
 _CARD_LINES = "list_filter(string_split_regex(regexp_extract_all(block, '<p class=\"card-text\">(.*?)</p>', 1)[2], '<br */?>'), lambda x: trim(x) <> '')"
@@ -256,8 +256,8 @@ CTES["thumb_cards"] = f"""
 SELECT page_id, position, regexp_extract(block, 'alt="([^"]*)"', 1) AS title,
   regexp_extract(block, 'listing-thumb-header" title="([^"]*)"', 1) AS address,
   nullif(regexp_extract(loc, '^([0-9]{{4}}) +', 1), '') AS zip_code,
-  CASE WHEN regexp_matches(loc, '^[0-9]{{4}} +') THEN nullif(regexp_extract(loc, '^[0-9]{{4}} +(.*)', 1), '') END AS city,
-  CAST(NULL AS VARCHAR) AS region,
+  CASE WHEN regexp_matches(loc, '^[0-9]{{4}} +.') THEN regexp_extract(loc, '^[0-9]{{4}} +(.*)', 1) ELSE place END AS city,
+  place AS region,
   TRY_CAST(replace(regexp_extract(regexp_extract(block, 'class="price">([^<]*)', 1), '[0-9'']+'), '''', '') AS BIGINT) AS price,
   base_url || nullif(regexp_extract(block, '<a href="([^"]*)"', 1), '') AS url
 FROM (SELECT *, trim(regexp_extract(block, 'title__location">([^<]*)', 1)) AS loc FROM ({blocks("thumb_html", '<div class="listing-thumb">')}))"""
@@ -286,6 +286,13 @@ def pair(word: str) -> str:
     return bare(f"regexp_extract({hit}, '<dd[^>]*>((?s:.*?))</dd>', 1)")
 
 
+def item(word: str) -> str:
+    """The list item that speaks of ``word``, which comes before the pairs."""
+    hit = f"list_filter(lis, lambda x: contains(lower(regexp_replace(x, '<[^>]*>', '', 'g')), '{word}'))[1]"
+    value = bare(f"regexp_extract({hit}, '<span class=\"value\">(.*?)</span>', 1)")
+    return f"CASE WHEN {hit} IS NULL THEN {pair(word)} WHEN contains({hit}, '<span class=\"value\">') THEN {value} END"
+
+
 CTES["thumb_details"] = f"""
 SELECT page_id, {cell("Number of rooms:")} AS rooms, {cell("Floor:")} AS floor, {cell("Livingspace:")} AS area_sqm,
   {cell("Available:")} AS availability_date, contains(table_html, 'Lift, Balcony') AS has_balcony,
@@ -295,11 +302,12 @@ FROM (SELECT *, {_CELLS} AS cells,
     regexp_extract_all(table_html, '<p>((?s:.*?))</p>', 1)), lambda x: {bare("x")}) AS parts FROM detail_pages)"""
 
 CTES["card_details"] = f"""
-SELECT page_id, {pair("zimmer")} AS rooms, {pair("etage")} AS floor, {pair("fläche")} AS area_sqm,
-  {pair("verfügbar")} AS availability_date, contains(pairs_html, '<svg') AS has_balcony,
+SELECT page_id, {item("zimmer")} AS rooms, {pair("etage")} AS floor, {item("fläche")} AS area_sqm,
+  {item("verfügbar")} AS availability_date, contains(pairs_html, '<svg') AS has_balcony,
   CASE WHEN contains(pairs_html, 'class="description"')
     THEN {bare("regexp_extract(pairs_html, 'class=\"description\">((?s:.*?))</div>', 1)")} END AS description
-FROM (SELECT *, regexp_extract_all(pairs_html, '<dt[^>]*>.*?</dd>') AS dts FROM detail_pages)"""
+FROM (SELECT *, regexp_extract_all(pairs_html, '<dt[^>]*>.*?</dd>') AS dts,
+  regexp_extract_all(pairs_html, '<li class="list-group-item.*?</li>') AS lis FROM detail_pages)"""
 
 # --- seeded numbers: the same md5 digits ------------------------------------
 
@@ -350,6 +358,7 @@ ORACLES: dict[str, str] = {
         CAST(len(regexp_extract_all(html, '<a [^>]*href="[^"]*"')) AS BIGINT) AS links,
         CAST(len(regexp_extract_all(html, '<p(?:>|[^a-zA-Z0-9_>][^>]*>)(?s:.*?)</p>')) AS BIGINT) AS paragraphs FROM pages""",
     "image_files": "SELECT pid, imgid, name FROM files",
+    "image_folder": "SELECT DISTINCT pid, imgid, name FROM files",
     "export_csv": f"""SELECT id AS "ID", coalesce(address, 'None') || {_TAIL} AS "Adresse" FROM addressed
         WHERE (latitude IS NULL OR longitude IS NULL) AND full_address NOT IN (SELECT full_address FROM gaz)""",
     "normalise_types": "SELECT src_id, rooms, area_sqm, price FROM typed",

@@ -20,7 +20,7 @@ from listingmill.operators import vectors as vec
 from listingmill.plans import clean as clean_plan
 from listingmill.plans import pricing
 from listingmill.schemas import RAW_LISTING
-from listingmill.sources import arrays, feeds, html, models
+from listingmill.sources import arrays, feeds, files, html, models
 from listingmill.sources import tables as store
 from listingmill.sources.workspace import fresh_path, stage
 
@@ -144,7 +144,7 @@ def orphan_images(t: Tables) -> DataFrame:
 @query
 def extract_cards_html(t: Tables) -> DataFrame:
     parts = [
-        html.extract_cards_html(t.listing_pages, f"{layout}_html", layout).withColumn("layout", F.lit(layout))
+        html.extract_cards_html(t.listing_pages, f"{layout}_html", layout, "place").withColumn("layout", F.lit(layout))
         for layout in html.LAYOUTS]
     return parts[0].unionByName(parts[1]).withColumn("position", long("position"))
 
@@ -175,6 +175,13 @@ def image_files(t: Tables) -> DataFrame:
     return t.files
 
 
+@query
+def image_folder(t: Tables) -> DataFrame:
+    path = fresh_path(t.spark, "image-folder")
+    files.touch(t.image_names, path)
+    return files.image_files(t.spark, path).select("pid", "imgid", "name")
+
+
 @query
 def export_csv(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "export")

@@ -80,9 +80,13 @@ class Tables:
     def images(self) -> DataFrame:
         return stage(explode_images(self.properties), "images")
 
+    @cached_property
+    def image_names(self) -> DataFrame:
+        return self._derive("image_files", images=self.images)
+
     @cached_property
     def files(self) -> DataFrame:
-        return split_names(self._derive("image_files", images=self.images))
+        return split_names(self.image_names)
 
     @cached_property
     def addressed(self) -> DataFrame:

@@ -23,6 +23,7 @@ CARD, CARD_PRICE, CARD_TEXT = "listing", "card-title", "card-text"
 CARD_BODY, CARD_SLIDE = "description", "swiper-slide"
 CARD_LABELS = {"rooms": "zimmer", "floor": "etage", "area_sqm": "fläche", "availability_date": "verfügbar"}
 CARD_BALCONY = "balkon"
+CARD_ITEM, CARD_ITEM_VALUE, CARD_ITEM_FIELDS = "list-group-item", "value", ("rooms", "area_sqm", "availability_date")
 
 # With the (?s) flag a dot scans several times faster than a class of everything.
 _ANY = "."
@@ -63,18 +64,21 @@ def _price(text: Column) -> Column:
     return F.regexp_replace(digits, "['’]", "").try_cast("bigint")
 
 
-def extract_cards_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
+def extract_cards_html(pages: DataFrame, html: str, layout: str, place: str | None = None) -> DataFrame:
     """One row per listing card of a result page: page, position, title,
     address, zip, city, region, price and link.
 
-    ``thumb`` cards give zip and place in one text and no region (the page's
-    own place stands in); ``card`` cards list street and place, which ends in
-    the region when it has more than two words.
+    ``thumb`` cards give zip and city in one text and no region: the place the
+    page was searched for, column ``place`` of ``pages``, is the region, and
+    the city of a card that names none; without that column both are null.
+    ``card`` cards list street and place, which ends in the region when it has
+    more than two words.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     opening = _tag("div", THUMB_CARD) if layout == "thumb" else _tag("a", CARD)
-    cards = pages.select("page_id", "base_url", F.posexplode(_blocks(F.col(html), opening)).alias("position", "block"))
+    searched = (F.col(place) if place else F.lit(None)).cast("string").alias("_searched")
+    cards = pages.select("page_id", "base_url", searched, F.posexplode(_blocks(F.col(html), opening)).alias("position", "block"))
     block = F.col("block")
     if layout == "thumb":
         link = _attribute(F.regexp_extract(block, _tag("a", THUMB_LINK), 0), "href")
@@ -82,11 +86,11 @@ def extract_cards_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
             block, rf"(?s){_tag('[a-z]+', THUMB_IMAGE)}{_ANY}*?(<img[^>]*>)", 1), "alt")
         address = _attribute(F.regexp_extract(block, _tag("header", THUMB_HEADER), 0), "title")
         price_text = F.regexp_extract(block, rf"{_tag('span', THUMB_PRICE)}([^<]*)", 1)
-        place = tx.trim_ws(F.regexp_extract(block, rf"{_tag('[a-z0-9]+', THUMB_PLACE)}([^<]*)", 1))
-        found = cards.withColumns({"_place": place, "_price": price_text, "_link": link}).withColumns({
+        named = tx.trim_ws(F.regexp_extract(block, rf"{_tag('[a-z0-9]+', THUMB_PLACE)}([^<]*)", 1))
+        found = cards.withColumns({"_place": named, "_price": price_text, "_link": link}).withColumns({
             "zip_code": _none_if_empty(F.regexp_extract("_place", r"^([0-9]{4})\s+(.*)", 1)),
-            "city": _none_if_empty(F.regexp_extract("_place", r"^([0-9]{4})\s+(.*)", 2)),
-            "region": F.lit(None).cast("string"),
+            "city": F.coalesce(_none_if_empty(F.regexp_extract("_place", r"^([0-9]{4})\s+(.*)", 2)), F.col("_searched")),
+            "region": F.col("_searched"),
         })
     else:
         link = _attribute(F.regexp_extract(block, opening, 0), "href")
@@ -130,7 +134,9 @@ def extract_details_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
 
     ``thumb`` pages hold table rows of two cells (a label that repeats counts
     last) and the description as a heading with paragraphs; ``card`` pages hold
-    dt/dd pairs (the first label that contains the word counts).
+    dt/dd pairs (the first label that contains the word counts).  For rooms,
+    area and availability the first list item that contains the word comes
+    before all pairs, even if it has no value.
     """
     page = F.col(html)
     if layout == "thumb":
@@ -162,17 +168,29 @@ def extract_details_html(pages: DataFrame, html: str, layout: str) -> DataFrame:
     items = F.regexp_extract_all(page, F.lit(rf"(?s)(<dt\b[^>]*>{_ANY}*?</dt>\s*<dd\b[^>]*>{_ANY}*?</dd>)"), F.lit(1))
     pairs = _pairs(items, rf"(?s)<dt\b[^>]*>({_ANY}*?)</dt>", rf"(?s)<dd\b[^>]*>({_ANY}*?)</dd>")
 
-    def look(word: str) -> Column:
-        return F.get(F.transform(
-            F.filter("_pairs", lambda p: F.lower(p["label"]).contains(word)), lambda p: p["value"]), F.lit(0))
+    entries = F.regexp_extract_all(page, F.lit(rf"(?s)({_tag('li', CARD_ITEM)}{_ANY}*?</li>)"), F.lit(1))
+    value = rf"(?s){_tag('span', CARD_ITEM_VALUE)}({_ANY}*?)</span>"
+    entries = F.transform(entries, lambda x: F.struct(
+        tx.strip_tags(x).alias("label"),
+        F.when(x.rlike(value), tx.strip_tags(F.regexp_extract(x, value, 1))).alias("value")))
+
+    def first(pairs: str, word: str) -> Column:
+        return F.get(F.filter(pairs, lambda p: F.lower(p["label"]).contains(word)), F.lit(0))
+
+    def look(field: str, word: str) -> Column:
+        pair = first("_pairs", word)
+        if field not in CARD_ITEM_FIELDS:
+            return pair["value"]
+        item = first("_items", word)
+        return F.when(item.isNotNull(), item["value"]).otherwise(pair["value"])
 
     balcony = F.exists(
         "_pairs", lambda p: F.lower(p["label"]).contains(CARD_BALCONY) & p["markup"].contains("<svg"))
     description = F.regexp_extract_all(page, F.lit(rf"(?s){_tag('div', CARD_BODY)}({_ANY}*?)</div>"), F.lit(1))
     return (
-        pages.withColumns({"_pairs": pairs, "_text": F.get(description, F.lit(0))})
+        pages.withColumns({"_pairs": pairs, "_items": entries, "_text": F.get(description, F.lit(0))})
         .select(
-            "page_id", *[look(word).alias(c) for c, word in CARD_LABELS.items()], balcony.alias("has_balcony"),
+            "page_id", *[look(c, word).alias(c) for c, word in CARD_LABELS.items()], balcony.alias("has_balcony"),
             tx.strip_tags(F.col("_text")).alias("description"))
     )
 
