@@ -1,66 +1,153 @@
-"""Repeated runs of lines, found on line-id sequences by distributed prefix doubling.
+"""Repeated runs of lines, from a suffix array over line-id sequences built by distributed prefix doubling.
 
-Every line gets a 128-bit id. Doubling joins the name of the ``h`` lines from a position on with the name of the ``h``
-lines after them, so after log2 steps a name stands for ``min_lines`` lines; inside one document this needs no shuffle.
-Positions are grouped by name, not sorted, and no common prefix lengths are computed: each name with more than one
-position is a repeated run, its first position (smallest ``doc_id``, then line) stays and the
-lines under every other position go. Overlapping runs unite to maximal ones. Names are counted with partial aggregation, and
-only names that occur twice are joined back, so a run that a third of all documents share is one row on its side.
-Only built-in functions are used.
+Every line of every document starts a suffix. Suffixes are ranked by their first line, and then round by round by the
+rank of their first ``h`` lines and the rank of the suffix ``h`` lines further on, which doubles ``h``. A rank is the number
+of suffixes that are smaller as far as is known, so ranks of different rounds compare, and only suffixes whose first ``h`` lines
+occur elsewhere take part in the next round. Sorted by rank, neighbouring suffixes share the longest common prefixes; their
+lengths are read off the ranks of the rounds, longest first. A run of ``min_lines`` lines that occurs more than once is an
+interval of the suffix array; its first place (smallest ``doc_id``, then line) stays and the lines under every other place
+go, so that overlapping runs unite to maximal ones. Only built-in functions are used.
+
+No group of equal lines or runs meets in one task: groups are counted with partial aggregation, ranked by sampled ranges of
+their keys, and joined back with hot keys cut into slots. All other joins are by document and line, which are unique.
 
 Defined cases: a null text counts as empty (one empty line); a null ``doc_id`` sorts before all others; rows that repeat
-``doc_id`` and text are one document, and each gets the same result; an empty table gives an empty result; columns other
-than ``doc_id`` and ``text`` are ignored.
+``doc_id`` and text are one document, and each gets the same result; a line without a visible character starts no run, so
+that on its own it stays; a run may overlap its own copy; a text of any length is one row and its lines are rows of their
+own; an empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from listingmill.functions.relational import dense_ids
+from listingmill.functions.skew import spread_join
 from listingmill.sources.workspace import stage
 
-MIN_LINES = 3
+MIN_LINES = 1
+_PLACE = ["key", "line"]
+
+
+def _suffixes(docs: DataFrame) -> DataFrame:
+    """(key, line, left, a, b): a row per line; ``left`` lines from it to the end, ``b`` its 128-bit id."""
+    names = docs.select("key", F.transform(F.split("body", "\n", -1), lambda x: F.unhex(F.md5(x))).alias("names"))
+    # outer, as the planner would otherwise test each list for being empty before it is built, and so build it twice
+    lines = names.select("key", F.size("names").alias("n"), F.posexplode_outer("names").alias("line", "b")).dropDuplicates(_PLACE)
+    return stage(lines.select("key", "line", (F.col("n") - F.col("line")).alias("left"), F.lit(0).cast("long").alias("a"), "b"), "line-ids")
+
+
+def _smaller(groups: DataFrame) -> DataFrame:
+    """Adds ``before``: the sum of ``size`` over all groups that are smaller by (a, b), range by range."""
+    ranges = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.monotonically_increasing_id()
+    placed = groups.repartitionByRange(ranges, "a", "b").sortWithinPartitions("a", "b")
+    placed = stage(placed.select("*", F.shiftright(row, 33).alias("range"), row.alias("row")), "line-groups")
+    earlier = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # a row per range
+    offsets = placed.groupBy("range").agg(F.sum("size").alias("n")).select(
+        "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    within = W.partitionBy("range").orderBy("row").rowsBetween(W.unboundedPreceding, -1)
+    summed = placed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    return summed.join(F.broadcast(offsets), "range").select("a", "b", "size", (F.col("offset") + F.col("inside")).alias("before"))
+
+
+def _ranked(members: DataFrame) -> DataFrame:
+    """(key, line, left, rank, size): suffixes of equal rank ``a`` told apart by ``b``; ``size`` of them stay equal."""
+    groups = stage(_smaller(members.groupBy("a", "b").agg(F.count(F.lit(1)).alias("size"))), "line-groups")
+    starts = groups.groupBy("a").agg(F.min("before").alias("start"))
+    named = spread_join(groups, starts, "a").select(
+        F.struct("a", "b").alias("group"), (F.col("a") + F.col("before") - F.col("start")).alias("rank"), "size")
+    held = members.select(*_PLACE, "left", F.struct("a", "b").alias("group"))
+    return stage(spread_join(held, named, "group").select(*_PLACE, "left", "rank", "size"), "line-ranks")
+
 
+def _doubled(suffixes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """The ranks by 1, 2, 4 ... lines of the suffixes whose so many first lines occur elsewhere, and the last rank of each
+    suffix whose first line does."""
+    state, h, levels, settled = _ranked(suffixes), 1, [], []
+    while True:
+        open_ = (F.col("size") > 1) & (F.col("left") >= h)  # those that end here come first among their equals
+        members = state.filter(open_)
+        levels.append(members.select(*_PLACE, "rank"))
+        if members.filter(F.col("left") > h).isEmpty():
+            known = [s.filter("size > 1") if i == 0 else s for i, s in enumerate([*settled, state])]
+            return levels, _union(known).select(*_PLACE, "left", "rank")
+        settled.append(state.filter(~open_))
+        after = _union([*settled, members]).filter(F.col("line") >= h).select(
+            "key", (F.col("line") - h).alias("line"), F.col("rank").alias("b"))
+        pairs = members.join(after, _PLACE, "left").select(
+            *_PLACE, "left", F.col("rank").alias("a"), F.coalesce("b", F.lit(-1)).alias("b"))
+        state, h = _ranked(stage(pairs, "line-pairs")), 2 * h
 
-def _run_names(docs: DataFrame, min_lines: int) -> DataFrame:
-    """(key, names): one name per position from which ``min_lines`` lines follow. (``names`` and ``tail`` are columns
-    before a lambda looks into them, or each step would rebuild them.)"""
-    out, have = docs.select("key", F.transform(F.split("body", "\n", -1), lambda x: F.unhex(F.md5(x))).alias("names")), 1
-    while have < min_lines:
-        step = min(have, min_lines - have)
-        rest = F.slice("names", F.lit(step + 1), F.greatest(F.size("names") - step, F.lit(0)))
-        out = out.withColumn("tail", rest).select("key", F.transform(
-            "tail", lambda right, i: F.unhex(F.md5(F.concat(F.get("names", i), right)))).alias("names"))
-        have += step
-    return out
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _common(levels: list[DataFrame], ranks: DataFrame) -> DataFrame:
+    """(key, line, common): of every ranked suffix, the most first lines it shares with any other.
+
+    Neighbours in the suffix array are compared by their ranks at the longest level first; what is equal is skipped."""
+    order = stage(dense_ids(ranks, ["rank", *_PLACE], out="at").select("at", *_PLACE), "line-order")
+    ahead = order.select((F.col("at") + 1).alias("at"), F.col("key").alias("key2"), F.col("line").alias("line2"))
+    pairs = stage(order.join(ahead, "at").select("key", "line", "key2", "line2", F.lit(0).alias("common")), "line-neighbours")
+    for k in reversed(range(len(levels))):
+        here = levels[k].select("key", F.col("line").alias("l"), F.col("rank").alias("r"))
+        there = levels[k].select(F.col("key").alias("key2"), F.col("line").alias("l2"), F.col("rank").alias("r2"))
+        met = pairs.withColumns({"l": F.col("line") + F.col("common"), "l2": F.col("line2") + F.col("common")})
+        met = met.join(here, ["key", "l"], "left").join(there, ["key2", "l2"], "left")
+        more = F.when(F.col("r") == F.col("r2"), F.lit(1 << k)).otherwise(F.lit(0))
+        pairs = stage(met.select("key", "line", "key2", "line2", (F.col("common") + more).alias("common")), "line-neighbours")
+    both = pairs.select("key", "line", "common").unionAll(pairs.select(F.col("key2"), F.col("line2"), "common"))
+    return both.groupBy(*_PLACE).agg(F.max("common").alias("common"))
+
+
+def _later(levels: list[DataFrame], min_lines: int) -> DataFrame:
+    """(key, line) of all places but the first of each run of ``min_lines`` lines: intervals of the suffix array, told apart
+    by the ranks of the two longest levels that cover them."""
+    k = min_lines.bit_length() - 1
+    if k >= len(levels):
+        return levels[0].select(*_PLACE).filter("false")  # no run is that long
+    rest = min_lines - (1 << k)
+    name = levels[k].withColumn("end", F.col("rank"))
+    if rest:
+        ends = levels[k].filter(F.col("line") >= rest).select("key", (F.col("line") - rest).alias("line"), F.col("rank").alias("end"))
+        name = levels[k].join(ends, _PLACE)
+    places = stage(name.select(*_PLACE, F.struct("rank", "end").alias("run")), "line-runs")
+    first = places.groupBy("run").agg(F.min(F.struct(*_PLACE)).alias("first"))
+    return spread_join(places, first, "run").filter(F.struct(*_PLACE) != F.col("first")).select(*_PLACE)
 
 
 def line_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_removed, n_runs (maximal removed runs), kept_text."""
+    """One row per document: doc_id, n_lines, n_removed, n_runs (maximal removed runs), longest_run (lines of the longest run
+    of this document that also starts at another place of any document, kept or not), kept_text."""
     body = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(docs["doc_id"].alias("doc_id"), body.alias("body")).withColumn(
-        "key", F.struct(F.col("doc_id"), F.unhex(F.md5("body")).alias("h")))
-    named = _run_names(rows, min_lines)
-    # outer, as the planner would otherwise test each list for being empty before it is built, and so build it twice
-    positions = stage(named.select("key", F.posexplode_outer("names").alias("line", "name")).filter("name is not null"), "line-names")
-    first = positions.groupBy("name").agg(
-        F.min(F.struct("key", "line")).alias("first"), F.max(F.struct("key", "line")).alias("last"))
-    repeated = first.filter("first != last").select("name", "first")
-    later = positions.join(repeated, "name").filter(F.struct("key", "line") != F.col("first"))
-    marks = later.groupBy("key").agg(F.collect_set("line").alias("starts"))
-    joined = rows.join(marks.select(F.col("key").alias("k"), "starts"), F.col("key").eqNullSafe(F.col("k")), "left")
-    return _apply(joined, min_lines)
+        "key", F.struct(F.col("doc_id"), F.xxhash64("body").alias("h")))
+    levels, ranks = _doubled(_suffixes(rows))
+    longest = _common(levels, ranks).groupBy("key").agg(F.max("common").alias("longest"))
+    starts = _later(levels, min_lines).groupBy("key").agg(F.collect_list("line").alias("starts"))
+    marks = stage(longest.join(starts, "key", "left").select(F.col("key").alias("k"), "longest", "starts"), "line-marks")
+    return _apply(rows.join(marks, F.col("key").eqNullSafe(F.col("k")), "left"), min_lines)
+
+
+def _visible(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
 
 
 def _apply(joined: DataFrame, min_lines: int) -> DataFrame:
-    lines = F.split("body", "\n", -1)
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.lit(min_lines - 1)))))
-    out = joined.select("doc_id", lines.alias("lines"), F.coalesce(covered, F.array().cast("array<int>")).alias("gone"))
+    out = joined.select("doc_id", "longest", F.split("body", "\n", -1).alias("lines"), "starts")
+    begun = F.filter("starts", lambda s: _visible(F.get("lines", s)))
+    covered = F.array_distinct(F.flatten(F.transform(begun, lambda s: F.sequence(s, s + F.lit(min_lines - 1)))))
+    out = out.select("doc_id", "longest", "lines", F.coalesce(covered, F.array().cast("array<int>")).alias("gone"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")  # by hash, so linear in the lines
     heads = F.array_except("gone", F.transform("gone", lambda i: i + 1))
-    out = out.select("doc_id", "lines", "gone", kept.alias("kept"), heads.alias("heads"))
+    out = out.select("doc_id", "longest", "lines", "gone", kept.alias("kept"), heads.alias("heads"))
     return out.select(
         "doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"),
-        F.size("heads").cast("long").alias("n_runs"),
+        F.size("heads").cast("long").alias("n_runs"), F.coalesce("longest", F.lit(0)).cast("long").alias("longest_run"),
         F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n").alias("kept_text"))

@@ -5,24 +5,25 @@ from __future__ import annotations
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_line_dedup"] = """
-WITH lines AS (
+WITH RECURSIVE lines AS (
   SELECT doc_id, i - 1 AS line, parts[i] AS t FROM (
     SELECT doc_id, parts, unnest(generate_series(1, len(parts))) AS i FROM (
       SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
-named AS (
-  SELECT doc_id, line, t, CASE WHEN lead(t, 2) OVER w IS NOT NULL
-    THEN t || chr(10) || lead(t, 1) OVER w || chr(10) || lead(t, 2) OVER w END AS name
-  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY line)),
-placed AS (
-  SELECT *, name IS NOT NULL AND row_number() OVER (PARTITION BY name ORDER BY doc_id, line) > 1 AS later FROM named),
+runs AS (
+  SELECT doc_id, line, 1 AS n, md5(t) AS name FROM lines QUALIFY count(*) OVER (PARTITION BY t) > 1
+  UNION ALL
+  SELECT doc_id, line, n, name FROM (
+    SELECT r.doc_id, r.line, r.n + 1 AS n, md5(r.name || l.t) AS name
+    FROM runs r JOIN lines l ON l.doc_id = r.doc_id AND l.line = r.line + r.n)
+  QUALIFY count(*) OVER (PARTITION BY name) > 1),
 marked AS (
-  SELECT doc_id, line, t, coalesce(later, false) OR coalesce(lag(later, 1) OVER w, false) OR coalesce(lag(later, 2) OVER w, false) AS gone
-  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY line)),
+  SELECT doc_id, line, t, regexp_matches(t, '[^ \t-\r]') AND row_number() OVER (PARTITION BY t ORDER BY doc_id, line) > 1 AS gone FROM lines),
 ends AS (
   SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY line), false) AS head FROM marked)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, count(*) FILTER (head) AS n_runs,
+  coalesce(any_value(longest), 0)::BIGINT AS longest_run,
   sha256(coalesce(string_agg(t, chr(10) ORDER BY line) FILTER (NOT gone), '')) AS kept_sha256
-FROM ends GROUP BY doc_id"""
+FROM ends LEFT JOIN (SELECT doc_id, max(n) AS longest FROM runs GROUP BY doc_id) USING (doc_id) GROUP BY doc_id"""
 
 ORACLES["op7_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,

@@ -38,7 +38,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_runs(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 @query
