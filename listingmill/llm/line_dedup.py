@@ -41,26 +41,31 @@ def _suffixes(docs: DataFrame) -> DataFrame:
     return stage(lines.select("key", "line", (F.col("n") - F.col("line")).alias("left"), F.lit(0).cast("long").alias("a"), "b"), "line-ids")
 
 
-def _smaller(groups: DataFrame) -> DataFrame:
-    """Adds ``before``: the sum of ``size`` over all groups that are smaller by (a, b), range by range."""
+def _refined(groups: DataFrame) -> DataFrame:
+    """(group, rank, size): ``a`` plus the members of the same ``a`` in groups with a smaller ``b``.
+
+    Groups are sorted in sampled ranges and summed up within them; one row per range carries its last ``a`` on to the next."""
     ranges = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row = F.monotonically_increasing_id()
     placed = groups.repartitionByRange(ranges, "a", "b").sortWithinPartitions("a", "b")
     placed = stage(placed.select("*", F.shiftright(row, 33).alias("range"), row.alias("row")), "line-groups")
-    earlier = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # a row per range
-    offsets = placed.groupBy("range").agg(F.sum("size").alias("n")).select(
-        "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    within = W.partitionBy("range").orderBy("row").rowsBetween(W.unboundedPreceding, -1)
+    ends = placed.groupBy("range").agg(F.min("a").alias("low"), F.max("a").alias("high"))
+    tails = placed.join(F.broadcast(ends), "range").filter(F.col("a") == F.col("high")).groupBy("range", "low", "high").agg(
+        F.sum("size").alias("n"))
+    upto = F.sum("n").over(W.partitionBy("high").orderBy("range").rowsBetween(W.unboundedPreceding, 0))
+    earlier = F.lag(F.struct("high", "upto")).over(W.orderBy("range"))
+    before = tails.withColumn("upto", upto).select("range", F.col("low").alias("a"), earlier.alias("e")).filter(
+        F.col("e.high") == F.col("a")).select("range", "a", F.col("e.upto").alias("carried"))
+    within = W.partitionBy("range", "a").orderBy("row").rowsBetween(W.unboundedPreceding, -1)
     summed = placed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return summed.join(F.broadcast(offsets), "range").select("a", "b", "size", (F.col("offset") + F.col("inside")).alias("before"))
+    rank = F.col("a") + F.col("inside") + F.coalesce("carried", F.lit(0))
+    return summed.join(F.broadcast(before), ["range", "a"], "left").select(
+        F.struct("a", "b").alias("group"), rank.alias("rank"), "size")
 
 
 def _ranked(members: DataFrame) -> DataFrame:
     """(key, line, left, rank, size): suffixes of equal rank ``a`` told apart by ``b``; ``size`` of them stay equal."""
-    groups = stage(_smaller(members.groupBy("a", "b").agg(F.count(F.lit(1)).alias("size"))), "line-groups")
-    starts = groups.groupBy("a").agg(F.min("before").alias("start"))
-    named = spread_join(groups, starts, "a").select(
-        F.struct("a", "b").alias("group"), (F.col("a") + F.col("before") - F.col("start")).alias("rank"), "size")
+    named = _refined(members.groupBy("a", "b").agg(F.count(F.lit(1)).alias("size")))
     held = members.select(*_PLACE, "left", F.struct("a", "b").alias("group"))
     return stage(spread_join(held, named, "group").select(*_PLACE, "left", "rank", "size"), "line-ranks")
 
