@@ -33,6 +33,8 @@ from listingmill.sources.workspace import stage
 
 LENGTH = 50
 SEED_BYTES = 20
+#: Symbols (0 to 256) that fit one 63-bit number; the doubling starts from their rank.
+PACKED = 7
 #: One run of windows: stretch, first window in it, windows, smallest document.
 RUN = np.dtype([("stretch", "<u4"), ("first", "<u4"), ("count", "<u4"), ("low", "<i8")])
 
@@ -122,8 +124,9 @@ class RunIndex:
         # rank of a run's head before the run, and first row of each symbol
         by_head = np.argsort(self.heads, kind="stable")
         total = np.cumsum(sizes[by_head]) - sizes[by_head]
-        self.target = np.zeros(len(self.heads), dtype=np.int64)  # row reached from the first row of each run
-        self.target[by_head] = total
+        target = np.zeros(len(self.heads), dtype=np.int64)  # row reached from the first row of each run
+        target[by_head] = total
+        self.shift = np.repeat(target - self.starts, sizes)  # of each row, so that no step searches for its run
         # rows whose next ``length`` symbols agree are one block
         new = np.concatenate([[True], (short[order][1:] != short[order][:-1]) | (part[order][1:] != part[order][:-1])])
         self.block = np.cumsum(new) - 1
@@ -131,26 +134,37 @@ class RunIndex:
 
     @staticmethod
     def _sorted(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Suffix array by prefix doubling, and the two ranks that together name the first ``length`` symbols."""
-        n, have, short = len(symbols), 1, None
-        rank = symbols.astype(np.int64)
+        """Suffix array by prefix doubling from ``PACKED`` symbols on, and the two ranks that together name the first ``length`` symbols."""
+        n, short = len(symbols), None
+        have = min(PACKED, length)
+        pair = symbols.astype(np.int64)
+        for k in range(1, have):
+            pair = pair * 257 + np.roll(symbols, -k)
+        rank = RunIndex._named(pair, np.argsort(pair))
         while True:
             if short is None and have * 2 >= length:
                 short, part = rank, np.roll(rank, have - length)
             pair = rank * (int(rank.max()) + 1) + np.roll(rank, -have)
-            order = np.argsort(pair, kind="stable")
-            line = pair[order]
-            named = np.zeros(n, dtype=np.int64)
-            named[order] = np.cumsum(np.concatenate([[0], line[1:] != line[:-1]]))
+            order = np.argsort(pair)  # ranks do not depend on the order of equals
+            named = RunIndex._named(pair, order)
             have *= 2
             if named.max() == n - 1 or have >= n or (named == rank).all():  # longer prefixes tell no more apart
+                if named.max() < n - 1:
+                    order = np.argsort(pair, kind="stable")
                 return (order, short, part) if short is not None else (order, named, named)
             rank = named
 
+    @staticmethod
+    def _named(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """The number of distinct smaller keys, of each key; ``order`` sorts them."""
+        line = keys[order]
+        named = np.empty(len(keys), dtype=np.int64)
+        named[order] = np.cumsum(np.concatenate([[0], line[1:] != line[:-1]]))
+        return named
+
     def step(self, rows: np.ndarray) -> np.ndarray:
         """The rows of the suffixes that begin one symbol earlier."""
-        run = np.searchsorted(self.starts, rows, side="right") - 1
-        return self.target[run] + rows - self.starts[run]
+        return rows + self.shift[rows]
 
 
 def _window_lows(texts: np.ndarray, sizes: np.ndarray, lows: np.ndarray, length: int) -> np.ndarray:
