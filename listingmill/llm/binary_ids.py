@@ -28,7 +28,7 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -46,8 +46,9 @@ END_ID = 1
 BLOCK_IDS = 256 << 10
 FILE_IDS = 8 << 20
 COUNTED_ROWS = 200
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
 WORDS_AT_ONCE = 500
+GROUPS_AT_ONCE = 16
 HEADER = struct.Struct("<4sIQQI")  # mark, documents, ids, bytes of data, checksum
 MARK = b"IDB1"
 SEPARATOR = b"\n"
@@ -131,7 +132,7 @@ class Words:
 
     Words whose characters no normal form changes are sent in long texts, many at a time. Their ids are told apart by the
     tokens that end a word, as many for each as the vocabulary's pattern finds parts in it. All other words are sent one by
-    one. The ids of up to ``CACHED_WORDS`` words are remembered.
+    one. The ids of up to ``CACHED_WORDS`` words are remembered; when there are more, those of the last texts.
     """
 
     def __init__(self, path: str):
@@ -193,9 +194,11 @@ class Words:
         out = all_sizes[found], (np.cumsum(all_sizes) - all_sizes)[found], all_table
         if len(self.known) + len(new) > CACHED_WORDS:
             self._forget()
-            if len(new) > CACHED_WORDS:
-                return out
-            all_sizes, all_table = sizes, table
+            if len(words) <= CACHED_WORDS:  # the words of these texts stay, so that frequent ones are not encoded again
+                sizes, starts, _ = out
+                at = np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+                self.known, self.sizes, self.table = words, sizes, all_table[at + np.arange(len(at))]
+            return out
         self.known, self.sizes, self.table = pa.concat_arrays([self.known, new]), all_sizes, all_table
         return out
 
@@ -205,10 +208,9 @@ class Words:
         parts = pc.count_substring_regex(lower, _WORD_PATTERN).to_numpy(zero_copy_only=False)
         plain = pc.and_not(pc.match_substring_regex(words, _UNCHANGED), self._has_special(lower)).to_numpy(zero_copy_only=False)
         some, rest, held = np.nonzero(plain)[0], [np.nonzero(~plain)[0]], words.to_pylist()
-        groups = [some[i:i + WORDS_AT_ONCE] for i in range(0, len(some), WORDS_AT_ONCE)]
+        groups = list(_few(some, WORDS_AT_ONCE))
         order, sizes, table = [], [], [np.zeros(0, "<u4")]
-        for group, ids in zip(groups, self.library.encode([" ".join(held[i] for i in g) for g in groups])):
-            ids = np.array(ids, "<u4")
+        for group, ids in self._of_groups(groups, held):
             ends = np.concatenate([[0], np.nonzero(self.ends[ids])[0] + 1])
             stops = np.cumsum(parts[group])
             if len(ends) != stops[-1] + 1:
@@ -218,10 +220,21 @@ class Words:
             sizes.append(np.diff(ends[stops], prepend=0))
             table.append(ids)
         alone = np.concatenate(rest)
-        each = [np.array(x, "<u4") for x in self.library.encode([held[i] for i in alone])]
+        each = [np.array(x, "<u4") for few in _few(alone, GROUPS_AT_ONCE * WORDS_AT_ONCE) for x in self.library.encode([held[i] for i in few])]
         return (np.concatenate([*order, alone]), np.concatenate([*sizes, np.array([len(x) for x in each], np.int64)]).astype(np.int64),
                 np.concatenate([*table, *each]))
 
+    def _of_groups(self, groups: list[np.ndarray], held: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each group of words and the ids of its text; some at a time, as what the library returns takes far more room than the ids."""
+        for some in _few(groups, GROUPS_AT_ONCE):
+            for group, ids in zip(some, self.library.encode([" ".join([held[i] for i in g]) for g in some])):
+                yield group, np.array(ids, "<u4")
+
+
+def _few(items: Sequence, n: int) -> Iterator[Sequence]:
+    """The items, ``n`` at a time."""
+    return (items[i:i + n] for i in range(0, len(items), n))
+
 
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> Words:
