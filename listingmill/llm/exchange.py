@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -93,9 +94,12 @@ class Batch:
 # --- hashes -----------------------------------------------------------------------
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * R)
@@ -106,17 +110,30 @@ class Rolling:
 
     def __init__(self, values: np.ndarray, base: np.uint64 = R, inverse: np.uint64 = R_INVERSE):
         n = len(values)
-        power = np.full(n + 1, base, dtype=np.uint64)
-        power[0] = 1
-        power = np.multiply.accumulate(power)
         self.prefix = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(values * power[:n], out=self.prefix[1:])
-        back = np.full(n + 1, inverse, dtype=np.uint64)
-        back[0] = 1
-        self.back = np.multiply.accumulate(back)
+        np.cumsum(values * _powers(base, n + 1)[:n], out=self.prefix[1:])
+        self.back = _powers(inverse, n + 1)
 
     def __call__(self, begin: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
-        return (self.prefix[end] - self.prefix[begin]) * self.back[begin]
+        out = self.prefix[end] - self.prefix[begin]
+        out *= self.back[begin]
+        return out
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """The first ``n`` powers; those for a slab are computed once in each worker."""
+    return _slab_powers(base)[:n] if n <= 2 * SLAB else _all_powers(base, n)
+
+
+@lru_cache(maxsize=4)
+def _slab_powers(base: np.uint64) -> np.ndarray:
+    return _all_powers(base, 2 * SLAB)
+
+
+def _all_powers(base: np.uint64, n: int) -> np.ndarray:
+    power = np.full(n, base, dtype=np.uint64)
+    power[0] = 1
+    return np.multiply.accumulate(power)
 
 
 def anchored(seeds: np.ndarray, valid: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,6 +219,16 @@ def heard(keys: np.ndarray, replies: list | None, buckets: int) -> np.ndarray:
     return out
 
 
+def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the distinct pairs in ascending order: the place where each first occurs; and the number of every pair among them."""
+    order = np.lexsort((b, a))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, the number of each key among them, and counts."""
     values, group, counts = np.unique(keys, return_inverse=True, return_counts=True)

@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listingmill.llm.exchange import (BYTE_VALUES, SLAB, Batch, Rolling, anchored, answer, ask, batches, by_bucket, distinct, heard,
-                                      mixed, packed, unpacked)
+from listingmill.llm.exchange import (BYTE_VALUES, SLAB, Batch, Rolling, anchored, answer, ask, batches, by_bucket, distinct,
+                                      distinct_pairs, heard, mixed, packed, unpacked)
 from listingmill.sources.workspace import stage
 
 LENGTH = 50
@@ -48,8 +48,9 @@ def _slabs(batch: Batch, length: int) -> Iterator[tuple[np.ndarray, ...]]:
         high = min(n, low + SLAB + length - 1)
         roll, m = Rolling(BYTE_VALUES[batch.body[low:high]]), high - low
         seeds = mixed(roll(slice(0, m - SEED_BYTES + 1), slice(SEED_BYTES, m + 1)))
-        starts = np.arange(low, high - length + 1)
-        valid = starts + length <= batch.ends[np.searchsorted(batch.ends, starts, side="right")]
+        valid = np.ones(m - length + 1, dtype=bool)  # but for the last places of each document, where no window fits
+        for end in batch.ends[slice(*np.searchsorted(batch.ends, [low, high], side="right"))].tolist():
+            valid[max(end - length + 1 - low, 0):max(end - low, 0)] = False
         first, count, place = anchored(seeds, valid, length - SEED_BYTES + 1)
         yield first + low, count, seeds[place], mixed(roll(first, first + count + length - 1) + count.astype(np.uint64))
 
@@ -79,9 +80,7 @@ class Stretches:
         ok = heard(keys, anchors, buckets)[group]
         for name in ("first", "count", "seed", "text", "doc"):
             setattr(self, name, getattr(self, name)[ok])
-        named = np.zeros(len(self.first), dtype=[("a", "<u8"), ("b", "<u8")])
-        named["a"], named["b"] = self.seed, self.text
-        _, self.example, self.number = np.unique(named, return_index=True, return_inverse=True)
+        self.example, self.number = distinct_pairs(self.seed, self.text)
         self.low = np.full(len(self.example), np.iinfo(np.int64).max)
         self.high = np.full(len(self.example), np.iinfo(np.int64).min)
         np.minimum.at(self.low, self.number, self.doc)
@@ -140,27 +139,34 @@ class RunIndex:
         pair = symbols.astype(np.int64)
         for k in range(1, have):
             pair = pair * 257 + np.roll(symbols, -k)
-        rank = RunIndex._named(pair, np.argsort(pair))
+        order = np.argsort(pair)
+        rank = np.empty(n, dtype=np.int64)  # of each suffix, how many are smaller as far as is known
+        rank[order], open_ = RunIndex._split(pair[order], np.arange(n))
         while True:
             if short is None and have * 2 >= length:
-                short, part = rank, np.roll(rank, have - length)
-            pair = rank * (int(rank.max()) + 1) + np.roll(rank, -have)
-            order = np.argsort(pair)  # ranks do not depend on the order of equals
-            named = RunIndex._named(pair, order)
+                short, part = rank.copy(), np.roll(rank, have - length)
+            # only suffixes that are still equal to others are sorted again, inside their places
+            some = order[open_]
+            pair = rank[some] * n + rank[(some + have) % n]
+            by = np.argsort(pair)
+            some = order[open_] = some[by]
+            named, still = RunIndex._split(pair[by], open_)
+            changed = (named != rank[some]).any()
+            rank[some] = named
+            open_ = still
             have *= 2
-            if named.max() == n - 1 or have >= n or (named == rank).all():  # longer prefixes tell no more apart
-                if named.max() < n - 1:
-                    order = np.argsort(pair, kind="stable")
-                return (order, short, part) if short is not None else (order, named, named)
-            rank = named
+            if not len(open_) or have >= n or not changed:  # longer prefixes tell no more apart
+                some = order[open_]
+                order[open_] = some[np.lexsort((some, rank[some]))]
+                return (order, short, part) if short is not None else (order, rank, rank)
 
     @staticmethod
-    def _named(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
-        """The number of distinct smaller keys, of each key; ``order`` sorts them."""
-        line = keys[order]
-        named = np.empty(len(keys), dtype=np.int64)
-        named[order] = np.cumsum(np.concatenate([[0], line[1:] != line[:-1]]))
-        return named
+    def _split(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For sorted keys at these places: the first place with the same key, and the places whose key occurs twice or more."""
+        new = np.ones(len(keys) + 1, dtype=bool)
+        new[1:-1] = keys[1:] != keys[:-1]
+        first = places[np.maximum.accumulate(np.where(new[:-1], np.arange(len(keys)), 0))]
+        return first, places[~(new[:-1] & new[1:])]
 
     def step(self, rows: np.ndarray) -> np.ndarray:
         """The rows of the suffixes that begin one symbol earlier."""
@@ -211,14 +217,13 @@ def _bucket(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     seed, number, size, low, high, text, sender = map(np.concatenate, (seeds, numbers, sizes, lows, highs, texts, sender))
     size, ends = size.astype(np.int64), np.cumsum(size, dtype=np.int64)
     begin = ends - size
-    named = np.zeros(len(seed), dtype=[("a", "<u8"), ("b", "<u8")])
-    named["a"] = seed
+    named = np.zeros(len(seed), dtype="<u8")
     step = 1 << 16
     for a in range(0, len(seed), step):  # the stretches' own hashes, again
         b = min(len(seed), a + step)
         roll = Rolling(BYTE_VALUES[text[begin[a]:ends[b - 1]]])
-        named["b"][a:b] = mixed(roll(begin[a:b] - begin[a], ends[a:b] - begin[a]) + (size[a:b] - length + 1).astype(np.uint64))
-    _, example, which = np.unique(named, return_index=True, return_inverse=True)
+        named[a:b] = mixed(roll(begin[a:b] - begin[a], ends[a:b] - begin[a]) + (size[a:b] - length + 1).astype(np.uint64))
+    example, which = distinct_pairs(seed, named)
     owner = np.full(len(example), np.iinfo(np.int64).max)
     np.minimum.at(owner, which, low)
     # anchors with one stretch are known; the others go through the index
