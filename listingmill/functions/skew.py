@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from listingmill.sources.workspace import stage
@@ -18,17 +18,26 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
 
     ``df`` is read twice, so it should be a stored table."""
     counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    return _hot(counts, df.agg(F.count(F.lit(1))).scalar())
+
+
+def hot_counts(counts: DataFrame, key: str, size: str) -> DataFrame:
+    """The same of a table whose keys are counted already: a row per ``key`` and the ``size`` of it."""
+    return _hot(counts.select(F.col(key).alias("_hot"), F.col(size).alias("_n")), counts.agg(F.sum(size)).scalar())
+
+
+def _hot(counts: DataFrame, total: Column) -> DataFrame:
     piece = F.greatest(F.lit(LEAST_HOT_ROWS), F.floor(total / F.lit(MOST_HOT_KEYS)) + 1)
     return counts.where(F.col("_n") > piece).select("_hot", F.ceil(F.col("_n") / piece).cast("int").alias("_slots"))
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
     """Inner join on ``key``, whose hot values in ``left`` are dealt to several slots that each get the rows of ``right``.
 
-    ``left`` should be a stored table, ``right`` have few rows per key.  Columns other than ``key`` must differ.
+    ``left`` should be a stored table, ``right`` have few rows per key.  Columns other than ``key`` must differ.  ``hot``
+    are the hot keys where they are known.
     """
-    hot = F.broadcast(hot_keys(left, key))
+    hot = F.broadcast(hot_keys(left, key) if hot is None else hot)
     return _dealt(left, hot, key).join(_repeated(right, hot, key), [key, "_slot"]).drop("_slot")
 
 
