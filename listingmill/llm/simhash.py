@@ -9,9 +9,11 @@ what the counts skip. Where the radius is small against the width, tiles hold on
 tiles returns a spanning forest of its links, at most one row per node, never all pairs.
 Components come from alternating large-star and small-star steps over these rows, written to the shared folder each round.
 
-The pipeline's near stage takes links only as candidates, over distinct shingles and with a wide radius. The nodes of each
-candidate component meet again with their sets of shingle hashes (64 bits), in tiles, and only pairs whose sets have the
-Jaccard similarity link. A component in which many pairs are close and none is similar is quadratic work. The row that stays
+The pipeline's near stage takes links only as candidates, over distinct shingles and with a wide radius. Tiles hold only
+fingerprints whose sets share one of their first shingles, common ones last, as any pair of the similarity must (prefix filter); so the work
+follows the input. The nodes of each candidate component meet again with their sets of shingle hashes (64 bits), in tiles, and
+only pairs whose sets have the Jaccard similarity link. A component in which many pairs are close and none is similar, and one large
+group of near copies, are quadratic work. The row that stays
 has the smallest ``doc_id`` that is not null, then the smallest text digest; rows are told apart by both.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero and links like any other; rows with a
@@ -42,6 +44,9 @@ KEY_BITS = 32
 CHUNK = 1 << 20
 SET_ROWS = 256
 SET_BYTES = 2 << 20
+#: One text in so many is counted for the list of common shingles, which is at most so long.
+COMMON_OF = 64
+MOST_COMMON = 1 << 17
 
 
 # --- fingerprints -----------------------------------------------------------------
@@ -184,13 +189,20 @@ def links(nodes: DataFrame, radius: int, bits: int = 64) -> DataFrame:
 def _links_by_blocks(nodes: DataFrame, radius: int, width: int, blocks: int) -> DataFrame:
     """Within ``radius`` bits, two of ``radius + 2`` blocks of ``width`` bytes are equal, wherever the bits differ.
 
-    So only fingerprints that share two blocks are compared. A group of more than ``TILE`` is cut into tiles by hash and
-    each pair of its tiles is a group of its own; single fingerprints are left out.
+    So only fingerprints that share two blocks are compared.
     """
     pairs = [(a, b) for a in range(blocks) for b in range(a + 1, blocks)]
     keys = [F.struct(F.lit(k).alias("k"), F.concat(*[F.substring("fp", 1 + width * x, width) for x in pair]).alias("v"))
             for k, pair in enumerate(pairs)]
-    rows = nodes.select("fp", "ones", F.explode(F.array(*keys)).alias("key"))
+    return _links_in_groups(nodes.select("fp", "ones", F.explode(F.array(*keys)).alias("key")), radius)
+
+
+def _links_in_groups(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, other): edges that connect exactly what chains of fingerprints with the same ``key`` within ``radius`` bits connect.
+
+    ``rows`` are key, fp and ones; a fingerprint may have many keys. A group of more than ``TILE`` is cut into tiles by hash
+    and each pair of its tiles is a group of its own; single fingerprints are left out.
+    """
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     placed = rows.join(sizes, "key").withColumn("tiles", F.ceil(F.col("n") / F.lit(TILE)).cast("int"))
     placed = placed.withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
@@ -358,20 +370,71 @@ def radius_for(similarity: float, bits: int, slack: float = 5.0) -> int:
     return round(bits * odds + slack * math.sqrt(bits * odds * (1 - odds)))
 
 
-def _set_prints(rows: DataFrame, size: int, bits: int) -> DataFrame:
-    """doc_id, text digest, and fingerprint and digest of the set of shingles, together the node."""
+def _common_shingles(rows: DataFrame, size: int) -> np.ndarray:
+    """Hashes of shingles that many texts have, in order: they come last when the first shingles of a set are named.
+
+    Any order of the shingles finds the same pairs, so it is enough to count one text in ``COMMON_OF``; the order only decides
+    how many dissimilar texts are compared.
+    """
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in by_bytes(batches, "text"):
+            sets = [shingle_set(x, size) for x in some.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["key"])
+
+    some = rows.where(F.pmod(F.xxhash64("h"), F.lit(COMMON_OF)) == 0).select("text").mapInArrow(read, "key long")
+    found = some.groupBy("key").count().where("count > 3").orderBy(F.desc("count"), "key").limit(MOST_COMMON).select("key").collect()
+    return np.sort(np.array([r[0] for r in found], dtype=np.int64).view(np.uint64))
+
+
+def first_shingles(hashes: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set, by hash and common ones last, so many that two sets of this similarity share one of them."""
+    n = len(hashes)
+    if n and len(common):
+        last = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
+        hashes = np.concatenate([hashes[~last], hashes[last]])
+    return hashes[:n - math.ceil(n * similarity - 1e-9) + 1] if n else hashes
+
+
+def _set_prints(rows: DataFrame, size: int, bits: int, similarity: float) -> DataFrame:
+    """doc_id, text digest, fingerprint and digest of the set of shingles, together the node, and its first shingles."""
     kind = dict(rows.dtypes)["doc_id"]
+    common = _common_shingles(rows, size)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in by_bytes(batches, "text"):
             sets = [shingle_set(x, size) for x in some.column("text").to_pylist()]
             fps = [_majority(np.array_split(x, len(x) * 8 // CHUNK + 1), bits // 64) for x in sets]
             nodes = [fp + xxhash.xxh128_digest(x.tobytes()) for fp, x in zip(fps, sets)]
+            first = [first_shingles(x, common, similarity).view(np.int64) for x in sets]
+            ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
+            keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *first])))
             yield pa.RecordBatch.from_arrays(
-                [some.column("doc_id"), some.column("h"), pa.array(fps, pa.binary()), pa.array(nodes, pa.binary())],
-                names=["doc_id", "h", "fp", "node"])
+                [some.column("doc_id"), some.column("h"), pa.array(fps, pa.binary()), pa.array(nodes, pa.binary()), keys],
+                names=["doc_id", "h", "fp", "node", "keys"])
 
-    return rows.select("doc_id", "h", "text").mapInArrow(digest, f"doc_id {kind}, h string, fp binary, node binary")
+    return rows.select("doc_id", "h", "text").mapInArrow(
+        digest, f"doc_id {kind}, h string, fp binary, node binary, keys array<bigint>")
+
+
+def _met(prints: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, fp, ones): fingerprints of sets that share one of their first shingles, as any two sets of the similarity do.
+
+    Shingles with the same sets, as the many of two copies, are one key. Sums of hashes tell groups of sets apart.
+    """
+    each = prints.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys"))
+    postings = each.select(F.xxhash64("fp").alias("id"), F.explode("keys").alias("key"))
+    postings = stage(postings, "first-shingles")
+    mark = F.xxhash64("id", F.lit(SEED))
+    groups = postings.groupBy("key").agg(
+        F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.shiftrightunsigned(mark, 32)).alias("high"), F.sum(mark.bitwiseAND(0xFFFFFFFF)).alias("low")).where("a != b")
+    groups = stage(groups.groupBy("a", "b", "n", "high", "low").agg(F.min("key").alias("key")), "shared-shingles")
+    several = groups.where("n > 2").select("key")
+    if several.count() <= MOST_COMMON:
+        several = F.broadcast(several)
+    two = groups.where("n = 2").select("key", F.explode(F.array("a", "b")).alias("id"))
+    rows = two.unionByName(postings.join(several, "key").select("key", "id").distinct())
+    return rows.join(nodes.select(F.xxhash64("fp").alias("id"), "fp", "ones"), "id").select("key", "fp", "ones")
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
@@ -457,15 +520,15 @@ def _verified_links(sets: DataFrame, radius: int, similarity: float, width: int)
 def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, bits: int = 512) -> DataFrame:
     """One document of each group of near-duplicates, all columns unchanged: the smallest ``doc_id`` stays.
 
-    Candidates are texts whose wide fingerprints over distinct shingles are within a radius that loses no pair of this
-    similarity in practice; chains of them are cut into groups, and only pairs whose sets of shingles have the Jaccard
-    similarity link. Texts with equal sets are one node.
+    Candidates are texts that share one of the first shingles of their sets, as all pairs of this similarity do, and whose
+    wide fingerprints over distinct shingles are within a radius that loses no pair of this similarity in practice; chains of them are cut into groups, and only pairs whose sets of shingles have the Jaccard similarity link. Texts
+    with equal sets are one node.
     """
     radius = radius_for(similarity, bits)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(docs["doc_id"], text.alias("text"), F.md5(text).alias("h"))
-    prints = stage(_set_prints(rows, size, bits), "set-prints")
-    near = components(links(stage(_nodes(prints), "nodes"), radius, bits)).withColumnRenamed("node", "of")
+    prints = stage(_set_prints(rows, size, bits, similarity), "set-prints")
+    near = components(_links_in_groups(stage(_met(prints, _nodes(prints)), "met"), radius)).withColumnRenamed("node", "of")
     nodes = prints.groupBy("fp", "node").agg(F.min(F.struct("doc_id", "h")).alias("one"))
     nodes = nodes.join(near, F.col("fp") == F.col("of"), "left").select("node", "one", F.coalesce("root", "fp").alias("root"))
     nodes = stage(nodes, "set-nodes")
