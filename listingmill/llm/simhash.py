@@ -521,10 +521,11 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8
     """One document of each group of near-duplicates, all columns unchanged: the smallest ``doc_id`` stays.
 
     Candidates are texts that share one of the first shingles of their sets, as all pairs of this similarity do, and whose
-    wide fingerprints over distinct shingles are within a radius that loses no pair of this similarity in practice; chains of them are cut into groups, and only pairs whose sets of shingles have the Jaccard similarity link. Texts
+    wide fingerprints over distinct shingles are within a radius eight standard deviations beyond the mean of the worst such
+    pair; chains of them are cut into groups, and only pairs whose sets of shingles have the Jaccard similarity link. Texts
     with equal sets are one node.
     """
-    radius = radius_for(similarity, bits)
+    radius = radius_for(similarity, bits, 8.0)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(docs["doc_id"], text.alias("text"), F.md5(text).alias("h"))
     prints = stage(_set_prints(rows, size, bits, similarity), "set-prints")
