@@ -1,7 +1,7 @@
 """Repeated byte strings with a suffix array per bucket.
 
 A byte goes if a ``length``-byte string over it also starts in a document with a smaller ``doc_id``. Every window of
-``length`` bytes has an anchor, its smallest seed hash, so equal windows have equal anchors. Windows with an anchor that
+``length`` bytes has an anchor, its smallest seed hash, common seeds last, so equal windows have equal anchors. Windows with an anchor that
 occurs once anywhere cannot match; the others travel, as the short stretches of text under one anchor, to the bucket of
 the anchor, each distinct stretch of a batch once, with the smallest and largest ``doc_id`` it has there.
 
@@ -20,6 +20,7 @@ than ``doc_id`` (whole numbers) and ``text`` are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,31 +36,74 @@ LENGTH = 50
 SEED_BYTES = 20
 #: Symbols (0 to 256) that fit one 63-bit number; the doubling starts from their rank.
 PACKED = 7
+#: Bytes of stretches that share an index, about; it takes some hundred times as much memory while it is built.
+INDEX_BYTES = 1 << 20
+#: One batch in so many is counted for the list of common seeds; how often they are in a slab at least; how long the list may be.
+COMMON_OF = 8
+COMMON_IN_SLAB = 8
+MOST_COMMON = 1 << 16
 #: One run of windows: stretch, first window in it, windows, smallest document.
 RUN = np.dtype([("stretch", "<u4"), ("first", "<u4"), ("count", "<u4"), ("low", "<i8")])
 
 
 # --- stretches of a batch -------------------------------------------------------------
 
-def _slabs(batch: Batch, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(first window, windows, anchor hash, stretch hash), a stretch of bytes at a time."""
+def _seeds(batch: Batch, length: int) -> Iterator[tuple[int, int, Rolling, np.ndarray]]:
+    """(begin, end, rolling hash, seed hashes), a stretch of bytes at a time."""
     n = len(batch.body)
     for low in range(0, max(n - length + 1, 0), SLAB):
         high = min(n, low + SLAB + length - 1)
         roll, m = Rolling(BYTE_VALUES[batch.body[low:high]]), high - low
-        seeds = mixed(roll(slice(0, m - SEED_BYTES + 1), slice(SEED_BYTES, m + 1)))
+        yield low, high, roll, mixed(roll(slice(0, m - SEED_BYTES + 1), slice(SEED_BYTES, m + 1)))
+
+
+def _common_seeds(table: DataFrame, columns: list[str], length: int) -> bytes:
+    """Hashes of seeds that many documents have, at most ``MOST_COMMON``, in order.
+
+    They come last when a window's anchor is chosen: a phrase that a large part of all documents share would otherwise be the
+    anchor of as many stretches, which meet in one index. Any order finds the same windows, so one batch in ``COMMON_OF`` is counted.
+    """
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for row in part.to_pylist():
+                for _, _, _, seeds in _seeds(Batch(*(row[c] for c in columns)), length):
+                    keys, n = np.unique(seeds, return_counts=True)
+                    often = n >= COMMON_IN_SLAB
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(n[often])], names=["seed", "n"])
+
+    some = table.where(F.pmod(F.xxhash64("batch"), F.lit(COMMON_OF)) == 0).select(*columns).mapInArrow(count, "seed long, n long")
+    found = some.groupBy("seed").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "seed").limit(MOST_COMMON).select("seed").collect()
+    return np.sort(np.array([r[0] for r in found], dtype=np.int64)).tobytes()
+
+
+@lru_cache(maxsize=2)
+def _common_table(common: bytes) -> np.ndarray:
+    """Of the first 22 bits of a hash: whether a common seed begins so; a few others come last with it, which does no harm."""
+    table = np.zeros(1 << 22, dtype=bool)
+    table[np.frombuffer(common, np.uint64) >> np.uint64(42)] = True
+    return table
+
+
+def _slabs(batch: Batch, length: int, common: bytes) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first window, windows, anchor hash, stretch hash), a stretch of bytes at a time."""
+    for low, high, roll, seeds in _seeds(batch, length):
+        m = high - low
         valid = np.ones(m - length + 1, dtype=bool)  # but for the last places of each document, where no window fits
         for end in batch.ends[slice(*np.searchsorted(batch.ends, [low, high], side="right"))].tolist():
             valid[max(end - length + 1 - low, 0):max(end - low, 0)] = False
-        first, count, place = anchored(seeds, valid, length - SEED_BYTES + 1)
+        order = seeds
+        if common:
+            order = seeds >> np.uint64(1)
+            order[_common_table(common)[seeds >> np.uint64(42)]] |= np.uint64(1 << 63)
+        first, count, place = anchored(order, valid, length - SEED_BYTES + 1)
         yield first + low, count, seeds[place], mixed(roll(first, first + count + length - 1) + count.astype(np.uint64))
 
 
 class Stretches:
     """Runs of windows under one anchor in a batch: ``first``, ``count``, ``seed``, ``text`` (hash) and ``doc`` (its id)."""
 
-    def __init__(self, batch: Batch, length: int):
-        parts = list(_slabs(batch, length))
+    def __init__(self, batch: Batch, length: int, common: bytes = b""):
+        parts = list(_slabs(batch, length, common))
         kinds = (np.int64, np.int64, np.uint64, np.uint64)
         self.first, self.count, self.seed, self.text = (
             (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, t) for t in kinds))
@@ -202,6 +246,15 @@ def _window_lows(texts: np.ndarray, sizes: np.ndarray, lows: np.ndarray, length:
     return out[window]
 
 
+def _parts(stretches: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Stretches, sorted by anchor, in parts that need an index each: an anchor's stay together, and a part has about
+    ``INDEX_BYTES`` unless one anchor has more."""
+    before = np.cumsum(sizes) - sizes
+    first = np.nonzero(np.append(True, seeds[1:] != seeds[:-1]))[0]  # of each anchor
+    part = before[first] // INDEX_BYTES
+    return np.split(stretches, first[1:][part[1:] != part[:-1]])
+
+
 def _bucket(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     """Runs of windows that a smaller document has, too, by batch."""
     seeds, numbers, sizes, lows, highs, texts, sender = [], [], [], [], [], [], []
@@ -236,9 +289,10 @@ def _bucket(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     first_window = np.concatenate([[0], np.cumsum(n_windows)])
     lows_of = np.repeat(owner, n_windows)
     if len(hard):
-        at = np.repeat(first_window[hard] - np.concatenate([[0], np.cumsum(n_windows[hard])[:-1]]), n_windows[hard])
-        lows_of[at + np.arange(len(at))] = _window_lows(
-            _gather(text, begin[example[hard]], size[example[hard]]), size[example[hard]], owner[hard], length)
+        for some in _parts(hard, seed[example[hard]], size[example[hard]]):
+            at = np.repeat(first_window[some] - np.concatenate([[0], np.cumsum(n_windows[some])[:-1]]), n_windows[some])
+            lows_of[at + np.arange(len(at))] = _window_lows(
+                _gather(text, begin[example[some]], size[example[some]]), size[example[some]], owner[some], length)
     # runs of windows with one smallest document, for each distinct stretch
     new = np.concatenate([[True], lows_of[1:] != lows_of[:-1]]) if len(lows_of) else np.zeros(0, bool)
     new[first_window[:-1]] = True
@@ -265,9 +319,10 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (binary)."""
     table, buckets = batches(docs)
     body = ["ids", "nulls", "sizes", "body"]
+    common = _common_seeds(table, body, length)
 
     def ask_anchors(*row) -> Iterator[tuple[int, bytes]]:
-        keys, _, several = Stretches(Batch(*row), length).anchors()
+        keys, _, several = Stretches(Batch(*row), length, common).anchors()
         return ask(keys, several, buckets)
 
     anchors = stage(answer(table, ask_anchors, body, np.dtype("<u8")), "anchors").withColumnRenamed("replies", "anchors")
@@ -278,7 +333,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             for k in range(part.num_rows):
                 row = part.slice(k, 1).to_pylist()[0]
                 batch = Batch(*(row[c] for c in body))
-                s = Stretches(batch, length)
+                s = Stretches(batch, length, common)
                 s.choose(row["anchors"], buckets)
                 made = list(_send(batch, s, length, buckets))
                 yield pa.RecordBatch.from_arrays(
@@ -297,13 +352,13 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for part in parts:
             for k in range(part.num_rows):
                 row = part.slice(k, 1).to_pylist()[0]
-                yield _kept(Batch(*(row[c] for c in body)), row["anchors"], row["runs"], buckets, length)
+                yield _kept(Batch(*(row[c] for c in body)), row["anchors"], row["runs"], buckets, length, common)
 
     return final.mapInArrow(keep, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
-def _kept(batch: Batch, anchors: list | None, runs: list | None, buckets: int, length: int) -> pa.RecordBatch:
-    s = Stretches(batch, length)
+def _kept(batch: Batch, anchors: list | None, runs: list | None, buckets: int, length: int, common: bytes) -> pa.RecordBatch:
+    s = Stretches(batch, length, common)
     s.choose(anchors, buckets)
     told = np.frombuffer(b"".join(unpacked(x) for x in runs or []), RUN)
     told = told[np.argsort(told["stretch"], kind="stable")]
